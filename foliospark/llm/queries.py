@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("encoding_repair", "split", "site_lines")
+MODULES = ("encoding_repair", "split", "token_budget", "site_lines", "packing", "mixing")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
