@@ -19,22 +19,25 @@ from pyspark.sql import functions as F
 from foliospark.llm.quality_rules import RULES
 from foliospark.storage import table
 
-#: The statistics that are asked for, then those of the text's form; all are doubles. Shares are of the characters beyond white space, but for those of lines and words.
+#: The statistics that are asked for, then those of the text's form; all are doubles. Shares are of the characters of all lines, but for those of lines and words.
 STATISTICS = ("words", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_words")
-FORM = ("digit_ratio", "delimited", "named", "marked", "entries", "short", "listed", "coded", "prose", "continued", "sentences_per_word", "distinct_words", "repeated_pairs", "menu")
+FORM = ("digit_ratio", "delimited", "named", "marked", "entries", "short", "listed", "coded", "prose", "continued", "sentences_per_word", "distinct_words", "repeated_pairs", "menu", "odd_signs")
 
 _RUN = re.compile(r"[^\W_]+")
 _DIGIT = re.compile(r"\d")
 _SENTENCE = re.compile(r"[.!?…][\"'»”’)]*(?:\s|\Z)")
-_MARK = re.compile(r"(?:[-*•‣◦▪–+]|\(?(?:\d{1,3}|[a-zA-Zа-яА-Я])[.)]|\d{2})\s+\S")
+_MARK = re.compile(r"(?:\[[ xX]?\]|[^\w\s\"'“”«»„()\[\]{}¿¡#|<>&=/\\]{1,2}|\(?(?:\d{1,3}|[a-zA-Zа-яА-Я]{1,2}|[ivxIVX]{1,4})[.)]|\d{2})\s+\S")
 _LEADER = re.compile(r"(?:\.\s?){4,}\s*\d+$")
 _NAMED = re.compile(r"^[^\W\d_][^:|=\t]{0,30}[:=]\s*\S")
 _ENTRY = re.compile(r"^\S[^.!?]{0,40}\s[–—-]\s[^.!?]{1,60}$")
 _GAPS = re.compile(r"\S {2,}(?=\S)")
 _STAMP = re.compile(r"^\d{4}-\d\d-\d\d[T ]\d\d:\d\d|^\[?\d\d:\d\d:\d\d|^(?:0x)?[0-9a-fA-F]{6,}\s")
-_CLOSED = re.compile(r"[.!?:…][\"'»”’)]*$")
+_CLOSED = re.compile(r"[.!?:…][\"'»”’)\]]*$")
+_PUNCTUATED = re.compile(r"[.!?…][\"'»”’)\]]*$")
 _ITEMS = re.compile(r"[,;] ?")
-_MENU = re.compile(r"\s[|/>»·•]+\s|\s*[>»]\s*")
+_MENU = re.compile(r"\s[/>»·]\s")
+_ODD = re.compile(r"[^\w\s.,;:!?'\"()|/’‘“”«»„%€£°#*•¡¿&+…–—\-]|_")
+_ROW = re.compile(r"\s\|\s")
 
 
 def line_kind(line: str, tokens: list[str], going_on: bool) -> str:
@@ -42,8 +45,15 @@ def line_kind(line: str, tokens: list[str], going_on: bool) -> str:
     n, k = len(line), len(tokens)
     if _STAMP.match(line):
         return "coded"
-    longest = max(map(len, tokens))
-    if longest > 45 or k > 7 and sum(map(len, tokens)) < 2.6 * k and sum(c.isdigit() for c in line) > n / 4:
+    if not going_on and len(_MENU.findall(line)) > 1 and not _DIGIT.search(line):
+        return "menu"
+    marked = _MARK.match(line)
+    if not marked and len(_ODD.findall(line)) > 0.08 * n:
+        return "coded"
+    tight = 0 if going_on else line.count(",") + line.count(";") - line.count(", ") - line.count("; ")
+    if tight > 1 and k <= tight + 1:
+        return "delimited"
+    if max(map(len, tokens)) > 45 or k > 7 and sum(map(len, tokens)) < 2.6 * k and sum(c.isdigit() for c in line) > n / 4:
         return "coded"
     pipes, tabs = line.count("|"), line.count("\t")
     if tabs or pipes > 1 or pipes == 1 and k < 9:
@@ -53,16 +63,13 @@ def line_kind(line: str, tokens: list[str], going_on: bool) -> str:
         return "delimited"
     if len(_GAPS.findall(line)) > 1 and k < 14:
         return "delimited"
-    if _MARK.match(line):
+    if marked:
         return "marked" if k < 12 or not _CLOSED.search(line) else "prose"
     if _LEADER.search(line):
         return "marked"
     if not going_on:
         seps = len(_ITEMS.findall(line))
         if seps > 1:
-            tight = line.count(",") + line.count(";") - line.count(", ") - line.count("; ")
-            if tight > 1 and tight >= seps - 1 and k < seps + 2:
-                return "delimited"
             if k <= 1.7 * (seps + 1):
                 return "listed"
         if k < 9 and _NAMED.match(line) and not _CLOSED.search(line):
@@ -71,8 +78,6 @@ def line_kind(line: str, tokens: list[str], going_on: bool) -> str:
             return "entry"
     if going_on or k >= 7 or k >= 4 and n >= 38 or _CLOSED.search(line) and k > 3:
         return "prose"
-    if len(_MENU.findall(line)) > 1:
-        return "delimited"
     return "short"
 
 
@@ -99,8 +104,8 @@ def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
                 if bits >> b & 1:
                     votes[b] += times
     pairs = Counter(zip(tokens, tokens[1:])) if n > 1 else Counter()
-    shares = dict.fromkeys(("coded", "delimited", "named", "marked", "entry", "short", "listed", "prose"), 0)
-    lines = closed = continued = menu = 0
+    shares = dict.fromkeys(("coded", "delimited", "named", "marked", "entry", "short", "listed", "prose", "menu"), 0)
+    lines = closed = continued = whole = rows = 0
     going_on = False
     for raw in text.split("\n"):
         line = raw.strip()
@@ -110,18 +115,21 @@ def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
         words = line.split()
         lines += 1
         ended = bool(_CLOSED.search(line))
-        closed += ended and line[-1] != ":"
+        closed += ended and bool(_PUNCTUATED.search(line))
         kind = line_kind(line, words, going_on)
         continued += going_on and line[0].islower()
-        size = sum(map(len, words))
-        shares[kind] += size
-        if kind in ("delimited", "short") and not _DIGIT.search(line) and len(_MENU.findall(line)) > 0 and "\t" not in line:
-            menu += size
+        whole += len(line)
+        shares[kind] += len(line)
+        if kind == "delimited" and not _DIGIT.search(line) and _ROW.search(line):
+            rows += len(line)
         going_on = kind == "prose" and not ended
+    if shares["menu"]:  # rows of words without a figure are menus where other lines are
+        shares["menu"] += rows
+        shares["delimited"] -= rows
     return (
         float(n), solid / n, (solid - letters) / solid, closed / lines, max(votes) / max(1, len(runs)),
-        len(_DIGIT.findall(text)) / solid, shares["delimited"] / solid, shares["named"] / solid, shares["marked"] / solid, shares["entry"] / solid, shares["short"] / solid, shares["listed"] / solid, shares["coded"] / solid, shares["prose"] / solid,
-        continued / lines, len(_SENTENCE.findall(text)) / n, len(counted) / max(1, len(runs)), pairs.most_common(1)[0][1] / n if pairs else 0.0, menu / solid,
+        len(_DIGIT.findall(text)) / solid, *[shares[k] / whole for k in ("delimited", "named", "marked", "entry", "short", "listed", "coded", "prose")],
+        continued / lines, len(_SENTENCE.findall(text)) / n, len(counted) / max(1, len(runs)), pairs.most_common(1)[0][1] / n if pairs else 0.0, shares["menu"] / whole, len(_ODD.findall(text)) / solid,
     )
 
 
@@ -173,5 +181,13 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p9_found": p9_found, "p9_statistics": p9_statistics}
-_SPACE = r"\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-SQL: dict[str, str] = {}
+_FORM = r"""
+WITH d AS (SELECT doc_id, text, regexp_extract_all(text, '[^\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+') AS words, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS runs,
+                  list_filter(list_transform(string_split(text, chr(10)), lambda l: regexp_replace(regexp_replace(l, '^[\s\x{0b}\x{a0}]+', ''), '[\s\x{0b}\x{a0}]+$', '')), lambda l: l <> '') AS lines FROM documents),
+n AS (SELECT *, list_sum(list_transform(words, lambda w: length(w))) AS solid, list_sum(list_transform(runs, lambda w: length(w))) AS letters FROM d),
+c AS (SELECT doc_id, max(hits) AS hits FROM (SELECT doc_id, lang, count(*) AS hits FROM (SELECT doc_id, unnest(runs) AS word FROM n) JOIN (SELECT DISTINCT lang, lower(word) AS word FROM common_words) USING (word) GROUP BY doc_id, lang) GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS words, round(coalesce(solid / len(words), 0), 6) AS mean_word_length, round(coalesce((solid - coalesce(letters, 0)) / solid, 0), 6) AS symbol_ratio,
+       round(coalesce(len(list_filter(lines, lambda l: regexp_matches(l, '[.!?…]["''»”’)\]]*$'))) / len(lines), 0), 6) AS punctuated_lines, round(coalesce(hits / greatest(1, len(runs)), 0), 6) AS common_words
+FROM n LEFT JOIN c USING (doc_id)
+"""
+SQL: dict[str, str] = {"p9_statistics": _FORM}

@@ -1,3 +1,13 @@
 """The rule list that ``quality_training`` induced; written by it."""
 
-RULES: list[tuple[str, list[tuple[str, str, float]]]] = []
+# fmt: off
+RULES: list[tuple[str, list[tuple[str, str, float]]]] = [
+    ('list', [('marked', '>', 0.5073)]),
+    ('list', [('sentences_per_word', '<=', 0.0005), ('digit_ratio', '<=', 0.1188), ('prose', '<=', 0.49), ('symbol_ratio', '<=', 0.1349), ('symbol_ratio', '<=', 0.1182)]),
+    ('list', [('listed', '>', 0.7143)]),
+    ('list', [('short', '>', 0.4982)]),
+    ('junk', [('coded', '>', 0.1624)]),
+    ('junk', [('digit_ratio', '<=', 0.0004), ('sentences_per_word', '<=', 0.0057), ('common_words', '<=', 0.1356)]),
+    ('junk', [('menu', '>', 0.3425)]),
+    ('table', [('prose', '<=', 0.474)]),
+]
