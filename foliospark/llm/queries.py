@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("encoding_repair", "split", "token_budget", "site_lines", "pair_defects", "packing", "mixing", "prose_quality")
+MODULES = ("encoding_repair", "split", "token_budget", "site_lines", "pair_defects", "scan_repair", "packing", "mixing", "prose_quality")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
