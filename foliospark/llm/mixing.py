@@ -13,6 +13,7 @@ and the last two of a source are landed on the nearest total.
 from __future__ import annotations
 
 import random
+from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import product
 
@@ -60,11 +61,26 @@ def fly(p: list[float], size: list[int], rng: random.Random) -> list[int]:
 
 
 def land(p: list[float], size: list[int], open_: list[int]) -> None:
-    """Decide the open ones so that the tokens come nearest to what was expected, then the documents."""
+    """Decide the open ones so that the tokens come nearest to what was expected, then the documents.
+
+    What is still missing or too much is made good by one exchange, if there is
+    one: a document in, one of another size out, so that their number stays.
+    """
     want, n = sum(p[k] * size[k] for k in open_), sum(p[k] for k in open_)
     best = min(product((0.0, 1.0), repeat=len(open_)), key=lambda s: (abs(sum(x * size[k] for x, k in zip(s, open_)) - want), abs(sum(s) - n)))
     for k, x in zip(open_, best):
         p[k] = x
+    over = sum(x * size[k] for x, k in zip(best, open_)) - want
+    inside = [k for k in range(len(p)) if p[k] == 1.0]
+    outside = sorted((size[k], k) for k in range(len(p)) if p[k] == 0.0)
+    least, swap = abs(over), None
+    for k in inside if outside else ():
+        at = bisect_left(outside, (size[k] - over, -1))
+        for size_in, j in outside[max(0, at - 1) : at + 1]:
+            if (left := abs(over - size[k] + size_in)) < least - _EPS:
+                least, swap = left, (k, j)
+    if swap:
+        p[swap[0]], p[swap[1]] = 0.0, 1.0
 
 
 def _flight(last: bool):
@@ -72,11 +88,11 @@ def _flight(last: bool):
         group = group.sort_values("doc_id", ignore_index=True)
         p, size = group["p"].tolist(), group["tokens"].tolist()
         rng = random.Random(f"{group['mix_name'].iloc[0]}/{group['source'].iloc[0]}/{group['bucket'].iloc[0]}")
-        # Large documents first: those still open in the end, whose rounding shows in the totals, are mostly small.
-        order = sorted(range(len(p)), key=lambda i: (-size[i], rng.random()))
+        order = list(range(len(p)))
+        rng.shuffle(order)
         q, s = [p[i] for i in order], [size[i] for i in order]
         open_ = fly(q, s, rng)
-        if last:
+        if last or group["buckets"].iloc[0] == 1:
             land(q, s, open_)
         for k, i in enumerate(order):
             p[i] = q[k]
@@ -135,8 +151,8 @@ def mixed(documents: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY
     rows = plan(wanted, totals)
     quotas = spark.createDataFrame([(m, s, b, p, max(1, -(-n // BUCKET_ROWS))) for m, s, _, b, p, n, _ in rows], "mix_name string, source string, base int, p double, buckets int")
     units = sizes.join(F.broadcast(quotas), "source")
-    units = units.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), "buckets")).select("mix_name", "source", "doc_id", "tokens", "base", "p", "bucket")
-    kind = "mix_name string, source string, doc_id long, tokens long, base int, p double, bucket long"
+    units = units.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), "buckets")).select("mix_name", "source", "doc_id", "tokens", "base", "p", "bucket", "buckets")
+    kind = "mix_name string, source string, doc_id long, tokens long, base int, p double, bucket long, buckets int"
     sure = units.where(f"p <= {_EPS}").withColumn("p", F.lit(0.0))
     flown = written(units.where(f"p > {_EPS}").groupBy("mix_name", "source", "bucket").applyInPandas(_flight(False), kind), "flown")
     decided, open_ = [sure, flown.where("p IN (0, 1)")], flown.where("p NOT IN (0, 1)")
