@@ -109,20 +109,37 @@ def oddity(word: str) -> int:
     return odd
 
 
+_REFERENCE = re.compile(rb"&#(1[2-9]\d|[2-9]\d\d|\d{4,6});")
+
+
+def unreferenced(text: bytes) -> bytes:
+    """Numeric character references beyond ASCII as the characters they name: garbled text may have been escaped after."""
+
+    def char(m: re.Match[bytes]) -> bytes:
+        n = int(m[1])
+        return chr(n).encode() if 127 < n < 0x110000 and not 0xD800 <= n < 0xE000 else m[0]
+
+    return _REFERENCE.sub(char, text)
+
+
 def words_of(text: bytes) -> set[str]:
-    """The distinct words beyond ASCII of a text, and their runs.
+    """The distinct words beyond ASCII of a text, their runs, and their parts about apostrophes.
 
     Words end at ASCII white space and signs only: the others may be garbled letters.
     Most of a text is ASCII, so it is cut and sifted as bytes, without a regular
     expression at each character (which took five times the CPU in the JVM).
     """
     out = set()
+    if b"&#" in text:
+        text = unreferenced(text)
     for part in {p for p in text.split() if not p.isascii()}:
         for word in _WORDS.findall(part):
             if not word.isascii():
                 w = word.decode("utf-8", "replace")
                 out.add(w)
                 out.update(_RUN.findall(w))
+                if "’" in w:  # what an article is joined to; some tables lack the sign
+                    out.update(x for x in w.split("’") if not x.isascii())
     return out
 
 
@@ -178,7 +195,7 @@ def repair_table(fragments: DataFrame) -> DataFrame:
     to be rarer *and*, if they look sound, have four letters or more. A clean
     word that is itself found garbled is no original.
     """
-    texts = fragments.select("text").where("text IS NOT NULL AND length(text) <> octet_length(text)")
+    texts = fragments.select("text").where("text IS NOT NULL AND (length(text) <> octet_length(text) OR contains(text, '&#'))")
     counts = written(texts.mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     signs = fragments.sparkSession.createDataFrame([(s, 1 << 40) for s in SIGNS], "word string, n long")
     forms = counts.unionByName(signs).repartition(F.col("word")).mapInArrow(_garble, "word string, original string, n_original long, kind int, odd_original int")
@@ -202,7 +219,7 @@ def garbled_words(fragments: DataFrame) -> DataFrame:
     repairs = written(repair_table(fragments), "repairs")
     if small_enough(repairs, BROADCAST_ROWS):
         repairs = F.broadcast(repairs)
-    rows = fragments.select("fragment_id", "text").where("text IS NOT NULL AND length(text) <> octet_length(text)")
+    rows = fragments.select("fragment_id", "text").where("text IS NOT NULL AND (length(text) <> octet_length(text) OR contains(text, '&#'))")
     return rows.mapInArrow(_listed, "fragment_id long, word string").join(repairs, "word").select("fragment_id", "word", "original")
 
 
@@ -210,7 +227,8 @@ _WORD = re.compile("[^" + _APART.decode() + "]*[^\x00-\x7f][^" + _APART.decode()
 
 
 def restore(text: str, repairs: dict[str, str]) -> str:
-    """Whole words first; a word without a repair of its own gets those of its runs."""
+    """References undone, then whole words first; a word without a repair of its own gets those of its runs."""
+    text = unreferenced(text.encode()).decode() if "&#" in text else text
     return _WORD.sub(lambda m: repairs.get(m[0]) or _RUN.sub(lambda r: repairs.get(r[0], r[0]), m[0]), text)
 
 
