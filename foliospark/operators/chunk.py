@@ -32,8 +32,8 @@ def _run(a: Column, b: Column, hard: bool) -> Column:
 def packed_runs(sizes: Column, budget: int, overlap: int, strict: bool = False) -> Column:
     """Bounds (1-based) of the chunks over an array of sentence sizes.
 
-    ``strict`` drops as much of the overlap as the budget asks for; without it
-    a chunk may exceed the budget by its overlap.
+    ``strict`` drops as much of the overlap as the budget asks for and makes
+    parts of long sentences smaller; without it a chunk may exceed the budget.
     """
     ints = "array<int>"
     start = F.struct(F.lit(1).alias("a"), F.lit(0).alias("n"), F.array().cast(ints).alias("ks"), F.array().cast(f"array<{_RUN}>").alias("out"))
@@ -74,11 +74,13 @@ def with_chunks(df: DataFrame, budget: int, overlap: int, text: str = "text", st
     if budget <= 0:
         raise ValueError("the budget must be positive")
     c = F.col(f"`{text}`")
+    # Counted one by one, a word costs a token; a strict part has to fit when it is counted whole.
+    part = max(1, (10 * budget + 9) // 13) if strict else budget
     fits = K.estimated(c) <= budget
     staged = df.withColumn("_sentences", F.when(~fits, T.sentences(c)))
     s = F.col("_sentences")
     staged = staged.withColumn("_runs", F.when(s.isNotNull(), packed_runs(F.transform(s, K.estimated), budget, overlap, strict)))
-    cut = F.flatten(F.transform(F.col("_runs"), lambda r: F.when(r["hard"], hard_split(F.element_at(s, r["a"]), budget)).otherwise(F.array(F.array_join(F.slice(s, r["a"], r["b"] - r["a"] + 1), " ")))))
+    cut = F.flatten(F.transform(F.col("_runs"), lambda r: F.when(r["hard"], hard_split(F.element_at(s, r["a"]), part)).otherwise(F.array(F.array_join(F.slice(s, r["a"], r["b"] - r["a"] + 1), " ")))))
     return staged.withColumn(into, F.when(s.isNotNull(), cut).when(c.isNotNull(), F.array(c))).drop("_sentences", "_runs")
 
 

@@ -182,7 +182,8 @@ def answers(df: DataFrame, adapter: Adapter, settings: Settings, prompt: str = "
 
 def answered(df: DataFrame, adapter: Adapter, settings: Settings, prompt: str = "prompt", partitions: int | None = None) -> DataFrame:
     """``answers``, called once and kept. Prompts are spread evenly first, over so many partitions as calls are wanted at once."""
-    spread = df.repartition(partitions) if partitions else df.repartition()
+    # By hash, so that a task that is run again gets the same rows; a number that is given is not coalesced.
+    spread = df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism, F.xxhash64(prompt))
     return written(answers(spread, adapter, settings, prompt), "answers")
 
 

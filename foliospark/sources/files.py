@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,11 @@ def listed(spark: SparkSession, settings: Settings) -> DataFrame:
         root = "file://" + settings.resolved_input_dir
     globs = ",".join(_any_case(e) for e in settings.allowed_extensions)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"{{{globs}}}").load(root)
-    return files.select("path", "modificationTime", "length").where(extension(F.col("path")).isin(*[e.lower() for e in settings.allowed_extensions]))
+    found = files.select("path", "modificationTime", "length")
+    # A scan leaves out empty files; the index that Spark holds on the driver anyway names them.
+    names = spark.createDataFrame([(unquote(n).replace("file:///", "file:/"),) for n in files.inputFiles()], "path string")
+    empty = names.join(found, "path", "left_anti").select("path", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(0).cast("long").alias("length"))
+    return found.unionByName(empty).where(extension(F.col("path")).isin(*[e.lower() for e in settings.allowed_extensions]))
 
 
 def contents(spark: SparkSession, settings: Settings, ext: str) -> DataFrame:
