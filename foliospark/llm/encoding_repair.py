@@ -206,8 +206,8 @@ def repair_table(fragments: DataFrame) -> DataFrame:
     met = written(met.where(sound & ((F.col("kind") < 3) | (F.char_length("word") > 1))), "met")
     clean = met.join(met.select(F.col("word").alias("original")).distinct(), "original", "left_anti")
     best = clean.groupBy("word", "original").agg(F.max("n_original").alias("n")).groupBy("word").agg(F.max_by("original", "n").alias("original"), F.max("n").alias("most"), F.sum("n").alias("all"))
-    # Several originals: the commonest stands if twenty times as common as the rest.
-    return best.select("word", F.when(F.col("most") * 21 >= F.col("all") * 20, F.col("original")).alias("original"))
+    # Several originals: the commonest stands if twenty times as common as the rest. Lost characters alone tell nothing.
+    return best.select("word", F.when((F.col("most") * 21 >= F.col("all") * 20) & F.col("word").rlike("[^\ufffd]"), F.col("original")).alias("original"))
 
 
 def garbled_words(fragments: DataFrame) -> DataFrame:

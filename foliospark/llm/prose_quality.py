@@ -48,7 +48,7 @@ def line_kind(line: str, tokens: list[str], going_on: bool) -> str:
     if not going_on and len(_MENU.findall(line)) > 1 and not _DIGIT.search(line):
         return "menu"
     marked = _MARK.match(line)
-    if not marked and len(_ODD.findall(line)) > 0.08 * n:
+    if len(_ODD.findall(line, marked.end() - 1 if marked else 0)) > 0.08 * n:
         return "coded"
     tight = 0 if going_on else line.count(",") + line.count(";") - line.count(", ") - line.count("; ")
     if tight > 1 and k <= tight + 1:
@@ -95,7 +95,8 @@ def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
     solid = sum(map(len, tokens))
     runs = _RUN.findall(text)
     letters = sum(map(len, runs))
-    counted = Counter([r.lower() for r in runs])
+    low = [r.lower() for r in runs]
+    counted = Counter(low)
     votes = [0, 0, 0, 0, 0, 0, 0, 0]
     for word, times in counted.items():
         bits = languages_of.get(word)
@@ -103,7 +104,7 @@ def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
             for b in range(8):
                 if bits >> b & 1:
                     votes[b] += times
-    pairs = Counter(zip(tokens, tokens[1:])) if n > 1 else Counter()
+    pairs = Counter(zip(low, low[1:]))
     shares = dict.fromkeys(("coded", "delimited", "named", "marked", "entry", "short", "listed", "prose", "menu"), 0)
     lines = closed = continued = whole = rows = 0
     going_on = False
@@ -129,7 +130,7 @@ def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
     return (
         float(n), solid / n, (solid - letters) / solid, closed / lines, max(votes) / max(1, len(runs)),
         len(_DIGIT.findall(text)) / solid, *[shares[k] / whole for k in ("delimited", "named", "marked", "entry", "short", "listed", "coded", "prose")],
-        continued / lines, len(_SENTENCE.findall(text)) / n, len(counted) / max(1, len(runs)), pairs.most_common(1)[0][1] / n if pairs else 0.0, shares["menu"] / whole, len(_ODD.findall(text)) / solid,
+        continued / lines, len(_SENTENCE.findall(text)) / n, len(counted) / max(1, len(runs)), (max(pairs.values()) - 1) / len(runs) if pairs else 0.0, shares["menu"] / whole, len(_ODD.findall(text)) / solid,
     )
 
 

@@ -2,12 +2,12 @@
 
 # fmt: off
 RULES: list[tuple[str, list[tuple[str, str, float]]]] = [
-    ('list', [('marked', '>', 0.5073)]),
-    ('list', [('sentences_per_word', '<=', 0.0005), ('digit_ratio', '<=', 0.1188), ('prose', '<=', 0.49), ('symbol_ratio', '<=', 0.1349), ('symbol_ratio', '<=', 0.1182)]),
-    ('list', [('listed', '>', 0.7143)]),
-    ('list', [('short', '>', 0.4982)]),
-    ('junk', [('coded', '>', 0.1624)]),
-    ('junk', [('digit_ratio', '<=', 0.0004), ('sentences_per_word', '<=', 0.0057), ('common_words', '<=', 0.1356)]),
-    ('junk', [('menu', '>', 0.3425)]),
-    ('table', [('prose', '<=', 0.474)]),
+    ('junk', [('coded', '>', 0.4992)]),
+    ('junk', [('symbol_ratio', '<=', 0.0014), ('prose', '>', 0.5), ('common_words', '<=', 0.116)]),
+    ('junk', [('menu', '>', 0.3773)]),
+    ('junk', [('repeated_pairs', '>', 0.2083)]),
+    ('table', [('digit_ratio', '>', 0.1957), ('delimited', '>', 0.4895)]),
+    ('table', [('named', '>', 0.346)]),
+    ('table', [('delimited', '>', 0.4418)]),
+    ('list', [('prose', '<=', 0.5)]),
 ]
