@@ -10,13 +10,14 @@ elsewhere. Those last words are joined with the endings of all records.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.storage import table
+from foliospark.storage import table, written
 
 ORDER = ("empty", "refusal", "copy", "language", "truncated")
 
@@ -75,7 +76,7 @@ def is_refusal(instruction: str, output: str) -> bool:
     """The answer opens with the model declining, in its first two sentences."""
     if ASKED_TO_REFUSE.search(instruction):
         return False
-    opening = " ".join([s for s in _SENTENCES.split(unlabelled(output)) if s.strip()][:2])[:400].replace("’", "'").replace("`", "'")
+    opening = " ".join([s for s in _SENTENCES.split(unlabelled(output)) if s.strip()][:2])[:280].replace("’", "'").replace("`", "'")
     return bool(REFUSAL.search(opening))
 
 
@@ -117,29 +118,42 @@ _CYRILLIC, _LATIN = re.compile("[Ѐ-ӿ]"), re.compile("[a-zà-ɏ]")
 _TRANSLATION = re.compile(r"\b(?:translat|übersetz|tradui[st]|traduire|traduc|traduz|przetłumacz|tłumacz|перевед|перевест|переклад)|\b(?:in|into|auf|ins|en|na język|на) (?:english|german|french|spanish|polish|russian|englisch|deutsch|französisch|spanisch|polnisch|russisch|anglais|allemand|français|espagnol|polonais|russe|inglés|alemán|francés|español|polaco|ruso)\b", re.I)
 
 
-def languages(text: str, common: dict[str, frozenset[str]]) -> dict[str, int]:
+LANGUAGES = tuple(TELLING)
+
+
+def lexicon(common: dict[str, Iterable[str]]) -> dict[str, int]:
+    """Word -> bits of the languages it tells, by their place in ``LANGUAGES``."""
+    bits: dict[str, int] = {}
+    for i, lang in enumerate(LANGUAGES):
+        for word in {*TELLING[lang].split(), *common.get(lang, ())}:
+            bits[word] = bits.get(word, 0) | 1 << i
+    return bits
+
+
+def languages(text: str, bits: dict[str, int]) -> dict[str, int]:
     """Votes per language: telling words and letters."""
     low = text.lower().replace("’", "' ")
-    words = _WORD.findall(low)
-    votes = {lang: sum(w in known for w in words) for lang, known in common.items()}
-    if _CYRILLIC.search(low):
+    told = Counter([b for w in _WORD.findall(low) if (b := bits.get(w))])
+    votes = {lang: sum(n for b, n in told.items() if b >> i & 1) for i, lang in enumerate(LANGUAGES)}
+    if not low.isascii() and _CYRILLIC.search(low):
         n = len(_CYRILLIC.findall(low))
         if n > len(_LATIN.findall(low)):
-            votes = {"ru": max(1, votes.get("ru", 0)) + n // 4}
+            votes = {"ru": max(1, votes["ru"]) + n // 4}
     else:
-        votes.pop("ru", None)
-        for lang, hint in _HINTS:
-            votes[lang] = votes.get(lang, 0) + min(3, len(hint.findall(low)))
+        del votes["ru"]
+        if not low.isascii():
+            for lang, hint in _HINTS:
+                votes[lang] += min(3, len(hint.findall(low)))
     return votes
 
 
-def is_other_language(instruction: str, output: str, common: dict[str, frozenset[str]]) -> bool:
+def is_other_language(instruction: str, output: str, bits: dict[str, int]) -> bool:
     if _TRANSLATION.search(instruction):
         return False
     answer = unlabelled(output)
     if not _CLOSED.search(answer):
         answer = answer.rpartition(" ")[0]  # the last word may be cut
-    asked, got = languages(instruction, common), languages(answer, common)
+    asked, got = languages(instruction, bits), languages(answer, bits)
     if not asked or not got or not max(asked.values()) or not max(got.values()):
         return False
     expected = max(asked, key=asked.get)
@@ -159,6 +173,7 @@ _PAD = "^ ^ "
 
 
 def _tail(segment: str) -> str:
+    segment = " ".join(segment.rsplit(None, 6)[-6:])
     return " ".join((_PAD + " ".join(w.lower() for w in re.findall(r"[^\W_]+|[%€$°]", segment))).split()[-3:])
 
 
@@ -207,7 +222,7 @@ def broken_off(output: str) -> tuple[bool, str | None]:
     return False, _tail(segment)
 
 
-def judge(instruction: str | None, given: str | None, output: str | None, common: dict[str, frozenset[str]]) -> tuple[list[str], str | None]:
+def judge(instruction: str | None, given: str | None, output: str | None, bits: dict[str, int]) -> tuple[list[str], str | None]:
     """(defects that the record shows by itself, last words to be looked up)."""
     if instruction is None or not instruction.strip():
         return [], None  # a raw model reply answers nothing
@@ -218,7 +233,7 @@ def judge(instruction: str | None, given: str | None, output: str | None, common
         found.append("refusal")
     if is_copy(instruction, given, output):
         found.append("copy")
-    if is_other_language(instruction, output, common):
+    if is_other_language(instruction, output, bits):
         found.append("language")
     cut, tail = broken_off(output)
     if cut:
@@ -237,12 +252,12 @@ def pair_defects(records: DataFrame, common_words: DataFrame) -> DataFrame:
     rows = common_words.select("lang", "word").where("lang IS NOT NULL AND word IS NOT NULL").limit(100_001).collect()
     if len(rows) > 100_000:
         raise ValueError("common_words is not a table of settings")
-    common = {lang: frozenset(words.split()) | frozenset(r["word"] for r in rows if r["lang"] == lang) for lang, words in TELLING.items()}
+    bits = lexicon({lang: [r["word"] for r in rows if r["lang"] == lang] for lang in LANGUAGES})
     columns = records.select("record_id", "instruction", "input", "output")
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            got = [judge(i, n, o, common) for i, n, o in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)))]
+            got = [judge(i, n, o, bits) for i, n, o in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([d for d, _ in got], pa.list_(pa.string())), pa.array([t for _, t in got], pa.string())], names=["record_id", "defects", "tail"])
 
     def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +265,9 @@ def pair_defects(records: DataFrame, common_words: DataFrame) -> DataFrame:
             seen = {t for k in (0, 1) for text in b.column(k).to_pylist() for t in endings(text)}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(seen), pa.string())], names=["tail"])
 
-    found = columns.mapInArrow(judged, "record_id long, defects array<string>, tail string")
+    # Kept, for it is read twice; most records show nothing and are gone here.
+    found = columns.mapInArrow(judged, "record_id long, defects array<string>, tail string").where("size(defects) > 0 OR tail IS NOT NULL")
+    found = written(found, "judged")
     # Only endings that some answer asks about are kept: few answers end without a mark.
     asked = found.where("tail IS NOT NULL").select("record_id", "defects", "tail")
     known = columns.select("input", "output").mapInArrow(ended, "tail string").distinct().withColumn("known", F.lit(True))

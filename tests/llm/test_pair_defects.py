@@ -3,7 +3,7 @@ import pytest
 from foliospark.llm import pair_defects as P
 
 COMMON = {"en": "the a of and is to in on".split(), "de": "der die das und ist den im".split(), "fr": "le la les des est et du".split(), "es": "el la los de es y en".split(), "pl": "nie jest na w z do się".split(), "ru": "и в на не что по".split()}
-WORDS = {k: frozenset(v) | frozenset(P.TELLING[k].split()) for k, v in COMMON.items()}
+WORDS = P.lexicon(COMMON)
 ASK = "What is on the list of the day?"
 
 
