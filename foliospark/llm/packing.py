@@ -28,6 +28,8 @@ MOST_MEMBERS = 8_192
 #: A round that leaves more than this share of the containers it began with is the last.
 WORTH_WHILE = 0.97
 FAN_IN = 8
+#: Containers in a group of the first merge.
+FIRST_ROWS = 2_000
 
 _MEMBER = "struct<doc_id: long, piece: int, token_start: int, tokens: int>"
 _BIN = f"spec_id long, capacity int, size int, done boolean, members array<{_MEMBER}>"
@@ -120,7 +122,7 @@ def pack(documents: DataFrame, specs: list[tuple[int, int]], vocabulary: str = V
     bins = written(documents.select("doc_id", "text").mapInArrow(_first_round(specs, vocabulary), _BIN), "bins")
     done, rest = [bins.where("done")], bins.where("NOT done")
     left = rest.count()
-    groups = max(bins.rdd.getNumPartitions(), 1)
+    groups = -(-left // FIRST_ROWS) * FAN_IN
     while left:
         groups = max(-(-groups // FAN_IN), -(-left // GROUP_ROWS))
         spread = rest.withColumn("g", F.pmod(F.xxhash64(F.col("members")[0]["doc_id"], F.col("members")[0]["piece"], F.lit(groups)), F.lit(groups)))

@@ -89,8 +89,13 @@ def _bare(text: str | None) -> str:
 
 def is_copy(instruction: str, given: str | None, output: str) -> bool:
     """Nothing but the instruction, the whole input or both, whatever the case, the marks and the label, once or repeated."""
+    answer = unlabelled(output)
+    # A copy begins as the instruction or the input does; most answers are done with here.
+    begin = {_bare(t[:80])[:25] for t in (instruction, given or "")} - {""}
+    if not any(_bare(t[:80]).startswith(x) for t in (output, answer) for x in begin):
+        return False
     ask, text = _bare(instruction), _bare(given)
-    ours = {_bare(output), _bare(unlabelled(output))} - {""}
+    ours = {_bare(output), _bare(answer)} - {""}
     for o in ours:
         if ask and (o == ask or len(o) > len(ask) and o == " ".join([ask] * ((len(o) + 1) // (len(ask) + 1)))):
             return True
