@@ -23,18 +23,29 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/foliospark-{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet to the shared folder and read it back.
 
     Later stages restart from these files when an executor is lost, and what
-    made them is not computed again.
+    made them is not computed again. They stay until ``clean``, for results
+    are lazy and may still read them.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession) -> None:
+    """Delete what ``written`` left in this application; call it when no result is to be read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_enough(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no further than that."""
     return df.limit(rows + 1).count() <= rows
