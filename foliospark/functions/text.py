@@ -29,7 +29,8 @@ URL = (r"(?U)https?://[^\s\x1c-\x1f]+", "")
 CONTROL = (r"[\p{C}&&[^\n\t]]", "")
 PAGE_MARK = (rf"(?iU)page{_S}+\d+{_S}*(of{_S}+\d+)?", "")
 NUMBER_LINE = (rf"(?mdU)^{_S}*\d{{1,4}}{_S}*$", "")
-BLANKS = (r"(?U)[\s\x1c-\x1f&&[^\n]]+", " ")
+# Runs that are not one space already: a single one is let stand, for texts are full of them.
+BLANKS = (r"(?U) [\s\x1c-\x1f&&[^\n]]+|[\s\x1c-\x1f&&[^\n ]][\s\x1c-\x1f&&[^\n]]*", " ")
 LINE_FEEDS = (r"\n{3,}", "\n\n")
 EDGES = (rf"(?U)\A{_S}+|{_S}+\z", "")
 SENTENCE = rf"(?U)(?<=[.!?]){_S}+(?=[A-Z])"

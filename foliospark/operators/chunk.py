@@ -87,4 +87,6 @@ def with_chunks(df: DataFrame, budget: int, overlap: int, text: str = "text", st
 def chunked(df: DataFrame, budget: int, overlap: int, text: str = "text", strict: bool = False) -> DataFrame:
     """One row per chunk: the other columns, ``chunk_index`` anew for each row, and the chunk in place of the text; a null text gives none."""
     rest = [F.col(f"`{x}`") for x in df.columns if x not in (text, "chunk_index")]
-    return with_chunks(df, budget, overlap, text, strict, "_chunks").select(*rest, F.posexplode("_chunks").alias("chunk_index", text))
+    # Outer, and the nulls dropped after: for an inner one Catalyst infers a filter on the array, which computes it twice.
+    cut = with_chunks(df, budget, overlap, text, strict, "_chunks").select(*rest, F.posexplode_outer("_chunks").alias("chunk_index", text))
+    return cut.where(F.col("chunk_index").isNotNull())

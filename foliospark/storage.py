@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
@@ -46,6 +47,14 @@ def clean(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def once(c: Column) -> Column:
+    """``c``, computed where it stands: a filter on it is not pushed below, which would compute a costly expression twice.
+
+    Catalyst moves no predicate through a projection that draws a random number.
+    """
+    return F.when(F.rand(0) >= 0, c)
+
+
 def small_enough(df: DataFrame, rows: int) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no further than that."""
     return df.limit(rows + 1).count() <= rows
