@@ -100,7 +100,8 @@ def strip(c: Column) -> Column:
 
 
 def collapse_whitespace(c: Column) -> Column:
-    return _sub(c, BLANKS, LINE_FEEDS, EDGES)
+    """Once blanks are spaces, spaces and line feeds are all the white space there is, and a plain trim strips it."""
+    return F.btrim(_sub(c, BLANKS, LINE_FEEDS), F.lit(" \n"))
 
 
 def strip_markdown(c: Column) -> Column:
