@@ -178,7 +178,8 @@ def html_text(c: Column) -> Column:
     """Text of a page, a line feed for each run of tags, entities read last."""
     bare = _sub(c, (rf"(?is)<({'|'.join(BOILERPLATE)})\b[^>]*>.*?</\1\s*>", "<x>"), (r"(?s)<!--.*?-->", "<x>"), (r"(?s)<!doctype[^>]*>|<\?[^>]*\?>", "<x>"))
     joined = _sub(bare, (r"(?s)(?:<[^>]+>)+", _GAP), (rf"\A{_GAP}+|{_GAP}+\z", ""), (_GAP, "\n"))
-    return strip_html_entities(joined)
+    # Without a look for ``&`` first: it would compute the long expression again, and few pages have none.
+    return F.pandas_udf(_unescape, StringType())(joined)
 
 
 def html_title(c: Column) -> Column:
