@@ -136,9 +136,11 @@ def lexicon(common: dict[str, Iterable[str]]) -> dict[str, int]:
 
 
 def languages(text: str, bits: dict[str, int]) -> dict[str, int]:
-    """Votes per language: telling words and letters."""
+    """Votes per language: words that tell it from all others, or, where there are none, words it shares; and letters."""
     low = text.lower().replace("’", "' ")
     told = Counter([b for w in _WORD.findall(low) if (b := bits.get(w))])
+    own = {b: n for b, n in told.items() if not b & b - 1}
+    told = own or told
     votes = {lang: sum(n for b, n in told.items() if b >> i & 1) for i, lang in enumerate(LANGUAGES)}
     if not low.isascii() and _CYRILLIC.search(low):
         n = len(_CYRILLIC.findall(low))
@@ -164,11 +166,14 @@ def is_other_language(instruction: str, output: str, bits: dict[str, int]) -> bo
     expected = max(asked, key=asked.get)
     if sorted(asked.values())[-2:].count(asked[expected]) > 1:
         return False  # the instruction's language is not clear
-    best = max(got.values())
-    if best < 2 and (len(_WORD.findall(answer)) > 4 or not _CLOSED.search(output.rstrip())):
-        return False
+    best, own = max(got.values()), got.get(expected, 0)
+    if best < 2:
+        # One vote is enough against a sentence of some length without any for the instruction's language.
+        n = len(_WORD.findall(answer))
+        if not _CLOSED.search(output.rstrip()) or 4 < n < 7 or own:
+            return False
     # Short answers: a word known to two languages votes for both, and the instruction's stands.
-    return got.get(expected, 0) < best and (best >= 2 * got.get(expected, 0) + 1 or got.get(expected, 0) == 0)
+    return best >= 2 * own + 1
 
 
 _CLOSED = re.compile(r"[.!?…。！？][\"'»”“’)\]*_`]*$")
