@@ -148,7 +148,7 @@ def with_retries(call: Callable[[], str], attempts: int, base: float, sleep: Cal
     raise ValueError("attempts must be at least 1")
 
 
-def answers(df: DataFrame, adapter: Adapter, settings: Settings, prompt: str = "prompt") -> DataFrame:
+def answers(df: DataFrame, adapter: Adapter, settings: Settings, prompt: str = "prompt", sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """The columns of ``df`` and ``raw, attempts, error_class, error_msg``; a null prompt is not sent. Lazy: see ``answered``."""
     names = df.columns
     at = names.index(prompt)
@@ -165,7 +165,7 @@ def answers(df: DataFrame, adapter: Adapter, settings: Settings, prompt: str = "
             return adapter.generate(text, settings.system_prompt)
 
         try:
-            raw, _ = with_retries(once, settings.llm_max_retries, settings.llm_retry_backoff_base)
+            raw, _ = with_retries(once, settings.llm_max_retries, settings.llm_retry_backoff_base, sleep)
             return raw, used, None, None
         except LLMError as e:
             return None, used, type(e).__name__, str(e)[:500]
