@@ -82,6 +82,12 @@ class StateLog:
         none = F.lit(None).cast("int")
         self.append(rows.select("file_path", F.lit(FAILED).alias("status"), none.alias("num_chunks"), none.alias("num_records"), F.lit(finished_at).alias("finished_at"), "error_msg"))
 
+    def mark(self, rows: DataFrame, finished_at: str) -> None:
+        """``file_path, num_chunks, num_records, error_msg`` of complete and failed files in one commit: failed are those with a message."""
+        failed = F.col("error_msg").isNotNull()
+        counts = [F.when(~failed, F.col(c)).alias(c) for c in ("num_chunks", "num_records")]
+        self.append(rows.select("file_path", F.when(failed, FAILED).otherwise(COMPLETE).alias("status"), *counts, F.lit(finished_at).alias("finished_at"), "error_msg"))
+
     def is_complete(self, file_path: str) -> bool:
         return has_status(self.states(), file_path, COMPLETE)
 

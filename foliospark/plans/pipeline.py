@@ -55,8 +55,11 @@ class Pipeline:
         return S.pending(S.listed(self.spark, self.settings), completed(self.state.states()))
 
     def read(self, pending: DataFrame) -> DataFrame:
-        """What the readers find in the pending files."""
+        """What the readers find in the pending files: few are opened by name, many by a semi join over the folder."""
         wanted = pending.select("path")
+        paths = [r["path"] for r in wanted.limit(S.NAMED_FILES + 1).collect()]
+        if len(paths) <= S.NAMED_FILES:
+            return read_all(lambda ext: S.contents_named(self.spark, self.settings, [p for p in paths if p.lower().endswith(ext)]), self.settings)
         return read_all(lambda ext: S.contents(self.spark, self.settings, ext).join(wanted, "path", "left_semi"), self.settings)
 
     def chunks(self, fragments: DataFrame) -> DataFrame:
@@ -83,8 +86,7 @@ class Pipeline:
             ok = ok.select(R.sharegpt(F.col("instruction"), F.col("input"), F.col("output")).alias("conversations"), "_metadata", "chunk_index")
         out = writers.get(s.output_format)(ok, s.output_path, s)
         states = written(self._states(pending, read, fragments, chunks, made), "states")
-        self.state.mark_failed(states.where("error_msg IS NOT NULL").select("file_path", "error_msg"), now)
-        self.state.mark_complete(states.where("error_msg IS NULL").select("file_path", "num_chunks", "num_records"), now)
+        self.state.mark(states, now)
         n = states.agg(F.count_if(F.col("error_msg").isNull()).alias("c"), F.count_if(F.col("error_msg").isNotNull()).alias("f")).first()
         return Outcome(out.records, rejects, n["c"], n["f"])
 

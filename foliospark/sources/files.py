@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from urllib.parse import unquote
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from foliospark.config import Settings
 from foliospark.errors import FileTooLarge, PathTraversal
+from foliospark.schema import FILE
 
 
 def extension(path: Column) -> Column:
@@ -47,6 +49,19 @@ def contents(spark: SparkSession, settings: Settings, ext: str) -> DataFrame:
     return files.where(F.col("length") <= settings.max_file_bytes)
 
 
+#: Up to so many pending files are opened by name; beyond, most of a folder is pending anyway and it is read as a whole.
+NAMED_FILES = 100_000
+_GLOB = re.compile(r"[\\*?\[\]{}]")
+
+
+def contents_named(spark: SparkSession, settings: Settings, paths: list[str]) -> DataFrame:
+    """The named files with their content: what is done already is not opened again."""
+    if not paths:
+        return spark.createDataFrame([], FILE)
+    files = spark.read.format("binaryFile").load([_GLOB.sub(lambda m: "\\" + m[0], p) for p in paths])
+    return files.where(F.col("length") <= settings.max_file_bytes)
+
+
 def guarded(files: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame]:
     """(files within the limit, errors of the others): a file of exactly the limit passes."""
     over = files.where(F.col("length") > settings.max_file_bytes)

@@ -33,8 +33,8 @@ def chunk_stream(spark: SparkSession, settings: Settings, ext: str, output: str,
             chunks.write.mode("overwrite").parquet(f"{output}/batch={number}")
             done = spark.read.parquet(f"{output}/batch={number}").groupBy(F.col("metadata.source_path").alias("file_path")).agg(F.count("*").cast("int").alias("num_chunks"))
             states = files.select(F.col("path").alias("file_path")).join(done, "file_path", "left")
-            log.mark_complete(states.where("num_chunks IS NOT NULL").withColumn("num_records", F.lit(0)), run_timestamp)
-            log.mark_failed(states.where("num_chunks IS NULL").select("file_path", F.lit("No content extracted").alias("error_msg")), run_timestamp)
+            why = F.when(F.col("num_chunks").isNull(), "No content extracted")
+            log.mark(states.select("file_path", "num_chunks", F.lit(0).alias("num_records"), why.alias("error_msg")), run_timestamp)
             read.unpersist()
         finally:
             files.unpersist()

@@ -141,11 +141,18 @@ def test_run_resume_and_new_files(spark, folder, tmp_path):
     assert states["lines.txt"]["num_chunks"] == 3 and states["broken.json"]["error_msg"].startswith("CorruptedFile")
     again, _ = run(spark, folder, tmp_path, Fake())
     assert (again.records, again.completed_files, again.failed_files) == (0, 0, 4)
-    (folder / "new.md").write_text("One more.")
+    (folder / "new [1] {x}?.md").write_text("One more.")
     third, _ = run(spark, folder, tmp_path, Fake())
     assert (third.records, third.completed_files) == (1, 1)
 
 
+def test_many_pending_files(spark, folder, tmp_path, monkeypatch):
+    """Read by a semi join over the folder instead of by name."""
+    monkeypatch.setattr(S, "NAMED_FILES", 2)
+    got, _ = run(spark, folder, tmp_path, Fake())
+    assert (got.completed_files, got.failed_files) == (7, 4)
+
+
 def test_failed_calls_and_malformed_answers(spark, folder, tmp_path):
     got, s = run(spark, folder, tmp_path, Fake(fail="quote"), output_format="parquet", jsonl_schema="sharegpt")
     states = {os.path.basename(r["file_path"]): r for r in StateLog(spark, s.checkpoint_dir).states().collect()}
