@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -19,7 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a fresh local one only where that is unset (tests, one machine)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="foliospark-")
+        local = tempfile.mkdtemp(prefix="foliospark-")
+        atexit.register(shutil.rmtree, local, ignore_errors=True)
+        named = "file://" + local
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
