@@ -40,15 +40,16 @@ _ODD = re.compile(r"[^\w\s.,;:!?'\"()|/’‘“”«»„%€£°#*•¡¿&+…
 _ROW = re.compile(r"\s\|\s")
 
 
-def line_kind(line: str, tokens: list[str], going_on: bool) -> str:
-    """What a line looks like by itself; ``going_on``: the line before was prose that had not closed."""
+def line_kind(line: str, tokens: list[str], going_on: bool, odd: int | None = None) -> str:
+    """What a line looks like by itself; ``going_on``: the line before was prose that had not closed; ``odd``: its signs that texts lack, if counted."""
     n, k = len(line), len(tokens)
     if _STAMP.match(line):
         return "coded"
     if not going_on and len(_MENU.findall(line)) > 1 and not _DIGIT.search(line):
         return "menu"
     marked = _MARK.match(line)
-    if len(_ODD.findall(line, marked.end() - 1 if marked else 0)) > 0.08 * n:
+    odd = len(_ODD.findall(line)) if odd is None else odd
+    if odd > 0.08 * n and (not marked or len(_ODD.findall(line, marked.end() - 1)) > 0.08 * n):
         return "coded"
     tight = 0 if going_on else line.count(",") + line.count(";") - line.count(", ") - line.count("; ")
     if tight > 1 and k <= tight + 1:
@@ -93,10 +94,10 @@ def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
     if not n:
         return (0.0,) * (len(STATISTICS) + len(FORM))
     solid = sum(map(len, tokens))
-    runs = _RUN.findall(text)
+    runs = _RUN.findall(text.lower())
     letters = sum(map(len, runs))
-    low = [r.lower() for r in runs]
-    counted = Counter(low)
+    counted = Counter(runs)
+    digits = sum([times * sum(map(str.isdecimal, w)) for w, times in counted.items() if not w.isalpha()])
     votes = [0, 0, 0, 0, 0, 0, 0, 0]
     for word, times in counted.items():
         bits = languages_of.get(word)
@@ -104,9 +105,11 @@ def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
             for b in range(8):
                 if bits >> b & 1:
                     votes[b] += times
-    pairs = Counter(zip(low, low[1:]))
+    # A pair cannot make up a fifth of a text unless its words do; sound texts are spared the count.
+    often = sum(times >= 0.2 * len(runs) for times in counted.values())
+    repeated = max(Counter(zip(runs, runs[1:])).values(), default=1) - 1 if often and len(runs) > 1 else 0
     shares = dict.fromkeys(("coded", "delimited", "named", "marked", "entry", "short", "listed", "prose", "menu"), 0)
-    lines = closed = continued = whole = rows = 0
+    lines = closed = continued = whole = rows = odd = 0
     going_on = False
     for raw in text.split("\n"):
         line = raw.strip()
@@ -117,7 +120,9 @@ def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
         lines += 1
         ended = bool(_CLOSED.search(line))
         closed += ended and bool(_PUNCTUATED.search(line))
-        kind = line_kind(line, words, going_on)
+        odd_here = 0 if line.isascii() and line.isalnum() else len(_ODD.findall(line))
+        odd += odd_here
+        kind = line_kind(line, words, going_on, odd_here)
         continued += going_on and line[0].islower()
         whole += len(line)
         shares[kind] += len(line)
@@ -129,8 +134,8 @@ def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
         shares["delimited"] -= rows
     return (
         float(n), solid / n, (solid - letters) / solid, closed / lines, max(votes) / max(1, len(runs)),
-        len(_DIGIT.findall(text)) / solid, *[shares[k] / whole for k in ("delimited", "named", "marked", "entry", "short", "listed", "coded", "prose")],
-        continued / lines, len(_SENTENCE.findall(text)) / n, len(counted) / max(1, len(runs)), (max(pairs.values()) - 1) / len(runs) if pairs else 0.0, shares["menu"] / whole, len(_ODD.findall(text)) / solid,
+        digits / solid, *[shares[k] / whole for k in ("delimited", "named", "marked", "entry", "short", "listed", "coded", "prose")],
+        continued / lines, len(_SENTENCE.findall(text)) / n, len(counted) / max(1, len(runs)), repeated / max(1, len(runs)), shares["menu"] / whole, odd / solid,
     )
 
 
