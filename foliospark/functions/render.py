@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -42,7 +41,7 @@ def flatten_json_native(c: Column, keys: list[str]) -> Column:
     return F.concat_ws("\n", *parts)
 
 
-def row_text(columns: list[str], types: dict[str, str] | None = None) -> Column:
+def row_text(columns: list[str]) -> Column:
     """``key: value | key: value`` over the values that are neither null nor empty."""
     parts = [F.when(F.col(c).cast("string") != "", F.concat(F.lit(f"{c}: "), F.col(c).cast("string"))) for c in columns]
     return F.concat_ws(" | ", *parts)

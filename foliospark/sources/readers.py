@@ -12,7 +12,6 @@ from __future__ import annotations
 import csv
 import io
 import json
-import re
 import zipfile
 from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
@@ -238,6 +237,3 @@ def as_fragments(read: DataFrame, run_timestamp: str) -> DataFrame:
     meta = F.struct(F.col("file_path").alias("source_path"), F.col("section").alias("page_or_section"), F.lit(run_timestamp).alias("timestamp"), "extra")
     return found.select("text", meta.alias("metadata"), F.lit(None).cast("int").alias("chunk_index"))
 
-
-def blank(text: str) -> bool:
-    return not re.search(r"\S", text or "")
