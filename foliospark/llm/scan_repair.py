@@ -50,6 +50,8 @@ _ODD = re.compile(r"[^\W_a-zа-яёß-ɏ]|[^\w’'\-]|_|[ﬀ-ﬄ]")
 _SIGNS = ".,;:!?…“”„«»()[]\"'‚‘—–"
 _HYPHEN = "-‐‑¬­"
 _ROMAN = re.compile(r"[ivxl]{1,6}$")
+_NUMERAL = re.compile(r"(c{0,3})(xc|xl|l?x{0,3})(ix|iv|v?i{0,3})$")
+_ROMAN_VALUES = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
 _PAGE_WORD = r"(?:page|seite|página|pagina|strona|страница|стр|pag|p|s|с|str|pg)"
 #: Digits as scanned: 1 as l, I or |; 0 as O or o.
 _D = r"[\dlIOo|]"
@@ -71,25 +73,94 @@ def header_key(line: str) -> str:
 
 
 def header_candidates(text: str | None) -> list[str]:
-    """Keys of lines at a page's edges that could be running headers: short, no sentence end, a capital first, nothing that flows on."""
+    """Keys of lines that could be running headers: short, no sentence end, a capital first, nothing that flows on.
+
+    Within a page, where headings stand too, the line has to be at a page break:
+    beside a page number, or in the middle of a sentence.
+    """
     if not text:
         return []
     lines = [x.strip() for x in text.split("\n") if x.strip()]
-    out = []
-    for i in dict.fromkeys((0, 1, len(lines) - 2, len(lines) - 1)):
-        if not 0 <= i < len(lines) or len(lines) < 3:
-            continue
-        line = lines[i]
-        if len(line) > 70 or len(line.split()) > 9 or _ENDED.search(line) or line[-1] in _HYPHEN + "," or _NUMBERED.match(line):
+    n = len(lines)
+    width, out = max(map(len, lines), default=0), []
+    for i, line in enumerate(lines):
+        if n < 3:
+            break
+        if len(line) > 70 or not line[0].isalnum() or len(line.split()) > 9 or _ENDED.search(line) or line[-1] in _HYPHEN + "," or _NUMBERED.match(line):
             continue
         words = _WORD.findall(line)
         if len(words) < 2 or not words[0][0].isupper():
             continue
-        if i + 1 < len(lines) and not lines[i + 1][0].isupper():
+        if 2 <= i < n - 2:
+            numbered = any(is_page_number(lines[k], True) for k in (i - 1, i + 1))
+            # The first word below would have had room here, so no wrapping ended this line.
+            if len(line) + 1 + len(lines[i + 1].split()[0]) > width or not (numbered or _runs_on(lines[i - 1], lines[i + 1], width)):
+                continue
+        else:
+            if i + 1 < n and not lines[i + 1][0].isupper():
+                continue
+            if i and not (_ENDED.search(lines[i - 1]) or is_page_number(lines[i - 1], True)) and not line.isupper():
+                continue
+        out.append(header_key(line))
+    return out
+
+
+def _runs_on(before: str, after: str, width: int) -> bool:
+    """A sentence goes on from the one line to the other: it is open, and the first line is full or ends in a hyphen."""
+    if _ENDED.search(before) or _row(before) or _row(after) or len(before.split()) < 2:
+        return False
+    # Lines of few words may be cells.
+    return before[-1] in _HYPHEN or (len(before.split()) > 3 or len(before) > 30) and len(before) + 1 + len(after.split()[0]) > width
+
+
+def number_value(line: str) -> int | None:
+    """Of a line that is only a number of up to five digits or a Roman numeral."""
+    if line.isdecimal() and len(line) < 6:
+        return int(line)
+    low = line.lower()
+    if not line or line not in (low, low.upper()) or not _NUMERAL.match(low):
+        return None
+    values = [_ROMAN_VALUES[c] for c in low]
+    return sum(-v if v < w else v for v, w in zip(values, [*values[1:], 0]))
+
+
+def inner_page_numbers(lines: list[str], page: str | None, repeated: frozenset[str]) -> set[int]:
+    """Indices of the bare numbers within ``lines`` (stripped, none blank) that are page numbers, as their surroundings tell.
+
+    Wrapping leaves a number alone only if the next word has no room beside it.
+    Other bare numbers are page numbers where a sentence runs on over them, or
+    where they follow a closed sentence and go with the page's own number; an
+    enumeration whose numbers stand alone is none.
+    """
+    values = {i: v for i, x in enumerate(lines) if 2 <= i < len(lines) - 2 and (v := number_value(x)) is not None}
+    if not values:
+        return set()
+    noise = {i for i, x in enumerate(lines) if i in values or is_page_number(x, False) or is_header(x, repeated)}
+    text = [x for i, x in enumerate(lines) if i not in noise]
+    width = max(map(len, text), default=0)
+    own = int(page) if page and page.strip().isdecimal() else None
+    out, closed = set(), []
+    for i, value in values.items():
+        if i - 1 in values or i + 1 in values:  # a column of figures
             continue
-        if i and not (_ENDED.search(lines[i - 1]) or is_page_number(lines[i - 1], True)) and not line.isupper():
+        before = next((lines[k] for k in range(i - 1, -1, -1) if k not in noise), None)
+        after = next((lines[k] for k in range(i + 1, len(lines)) if k not in noise), None)
+        if before is None or after is None or len(lines[i]) + 1 + len(after.split()[0]) > width:
             continue
-        out.append(header_key(line))
+        fits = own is not None and 0 <= value - own <= 1 + len(out) + len(closed)
+        # An open sentence in a line that is nearly full: words differ in length, and scanning changes them.
+        is_open = not _ENDED.search(before) and not _row(before) and len(before.split()) > 3
+        if _runs_on(before, after, width) or is_open and (len(before) > 0.72 * width) + fits + after[0].islower() > 1:
+            out.add(i)
+        elif _ENDED.search(before) and (fits or own is None and len(after) > 0.72 * width and not after[0].islower()):
+            closed.append(i)
+    found = [values[i] for i in closed]
+    every = [v for x in lines if (v := number_value(x)) is not None]
+    enumerated = len(every) > 2 and every == list(range(1, 1 + len(every)))
+    if not enumerated and (len(found) == 1 or found and found[0] > 1 and found == list(range(found[0], found[0] + len(found)))):
+        # Numbers of an enumeration that are not next to the page's own are in ``values`` too.
+        if sum(bool(_ENDED.search(lines[i - 1])) for i in values) == len(found):
+            out.update(closed)
     return out
 
 
@@ -302,12 +373,13 @@ def paragraph_starts(lines: list[str], blank_before: list[bool]) -> list[int]:
     return starts[::-1]
 
 
-def repair(text: str, decoder: Decoder, repeated: frozenset[str]) -> tuple[str, Counter]:
-    """(continuous text, repairs by kind: page, header, hyphen, split, misread)."""
+def repair(text: str, decoder: Decoder, repeated: frozenset[str], page: str | None = None) -> tuple[str, Counter]:
+    """(continuous text, repairs by kind: page, header, hyphen, split, misread). ``page``: the page's own number, if it is known."""
     kinds: Counter = Counter()
     raw = text.split("\n")
     filled = [i for i, x in enumerate(raw) if x.strip()]
     edges = {*filled[:2], *filled[-2:]} if len(filled) > 1 else set()
+    inner = {filled[k] for k in inner_page_numbers([raw[i].strip() for i in filled], page, repeated)}
     lines: list[str] = []
     blank: list[bool] = []
     gap = False
@@ -315,7 +387,7 @@ def repair(text: str, decoder: Decoder, repeated: frozenset[str]) -> tuple[str,
         s = x.strip(" \t\r\f\v ")
         if not s:
             gap = True
-        elif is_page_number(s, i in edges):
+        elif i in inner or is_page_number(s, i in edges):
             kinds["page"] += 1
         elif len(filled) > 1 and is_header(s, repeated):
             kinds["header"] += 1
@@ -396,20 +468,20 @@ def repaired_pages(fragments: DataFrame) -> DataFrame:
     seen = written(pages.mapInArrow(candidates, "fragment_id long, path string, page string, key string"), "headers")
     # Two pages at least; deliveries of one page count once.
     keys = seen.select("path", "page", "key").distinct().groupBy("path", "key").agg(F.count("*").alias("n")).where("n > 1")
-    # At most four keys a page, so a file of any number of pages brings no large row.
+    # The keys of a page are lines of it, so a file of any number of pages brings no large row.
     per_page = written(seen.join(keys, ["path", "key"]).groupBy("fragment_id").agg(F.collect_set("key").alias("keys")), "returning")
     per_page = F.broadcast(per_page) if small_enough(per_page, BROADCAST_ROWS) else per_page
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _decoder(shared)
         for b in batches:
-            made = [repair(t, decoder, frozenset(ks or ())) for t, ks in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            made = [repair(t, decoder, frozenset(ks or ()), page) for t, ks, page in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([t for t, _ in made], pa.string()), *[pa.array([k[x] for _, k in made], pa.int32()) for x in ("page", "header", "hyphen", "split", "misread")]],
                 names=["fragment_id", "text", "pages", "headers", "hyphens", "splits", "misread"],
             )
 
-    rows = pages.join(per_page, "fragment_id", "left").select("fragment_id", "text", "keys")
+    rows = pages.join(per_page, "fragment_id", "left").select("fragment_id", "text", "keys", "page")
     return rows.mapInArrow(run, "fragment_id long, text string, pages int, headers int, hyphens int, splits int, misread int")
 
 

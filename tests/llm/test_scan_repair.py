@@ -51,6 +51,40 @@ def test_page_numbers(line):
         assert fixed(text) == (body, {"page": 1})
 
 
+@pytest.mark.parametrize("number", ["1", "23", "vi", "XII"])
+def test_page_numbers_within_a_page(number):
+    sentence = "The night operator measures the\ndelivery note. The shift lead updates\n{}the shared calendar. The supplier’s\nquotation is with the front desk."
+    want = " ".join(sentence.format("").split())
+    assert fixed(sentence.format(number + "\n")) == (want, {"page": 1})
+    header = f"{number}\nBEACON / FUNNEL GG-1107\n"
+    assert fixed(sentence.format(header)) == (want, {"page": 1, "header": 1})
+    assert fixed("The night operator measures the note.\nThe shift opera-\n" + number + "\ntor measures the delivery note.\nThe shift lead.")[1] == {"page": 1, "hyphen": 1}
+
+
+def test_page_numbers_between_sentences():
+    text = "The shift lead updates the calendar.\nThe night operator measures the note.\n{}\nThe shift lead updates the note.\nThe front desk measures the note."
+    for number, page, n in (("4", "4", 1), ("v", "4", 1), ("40", "4", 0), ("4", None, 1)):
+        assert S.repair(text.format(number), D, frozenset(), page)[1]["page"] == n
+
+
+def test_numbers_that_are_no_page_numbers():
+    wrapped = "The night operator measures\nthe delivery note. It is at\n21\nquotationdeliverycalendarsxy\nby the night operator."
+    cells = "Night operator\nnote\n21\nDelivery note\n3\nShift lead\nFront desk"
+    column = "The night operator measures the\nnote\n3\n4\n5\nthe delivery note.\nThe shift lead."
+    listed = "Head note.\n1\nThe night operator measures the note.\n2\nThe shift lead updates the note.\n3\nThe front desk measures the note.\nThe note."
+    for text in (wrapped, cells, column, listed):
+        for page in (None, "1", "3"):
+            assert not S.inner_page_numbers(text.split("\n"), page, frozenset())
+
+
+def test_header_keys_within_a_page():
+    text = "The night operator measures the\ndelivery note. The shift lead updates\n{}the shared calendar. The supplier’s\nquotation is with the front desk."
+    assert S.header_candidates(text.format("Annual Report\n")) == ["annual report"]
+    assert S.header_candidates(text.format("12\nAnnual Report\n")) == ["annual report"]
+    assert S.header_candidates(text.format("")) == []
+    assert S.header_candidates("The night operator is here.\nThe note.\nSafety Notes\nThe shift lead updates the note.\nThe note.\nThe desk.") == []
+
+
 def test_headers():
     body = "The night operator measures\nthe delivery note."
     for line in ("Beacon / funnel GG-1107", "2  COUPLING / SPLICE FR-8780", "Gauge / crate GD-4444    6"):
@@ -113,3 +147,11 @@ def test_frame(spark):
     assert got[200]["headers"] == got[201]["headers"] == 1
     assert got[300]["headers"] == 0  # the same page delivered twice is no return
     assert got[104]["text"] == ""
+
+
+def test_frame_knows_pages(spark):
+    meta = "struct<source_path:string,page_or_section:string,timestamp:string,extra:map<string,string>>"
+    between = "The shift lead.\nThe night operator measures the note.\n{}\nThe shift lead.\nThe front desk."
+    rows = [(1, between.format(7), ("/e.pdf", "7", "t", None)), (2, between.format(70), ("/e.pdf", "7", "t", None))]
+    got = {r["fragment_id"]: r["pages"] for r in S.repaired_pages(spark.createDataFrame(rows, f"fragment_id long, text string, metadata {meta}")).collect()}
+    assert got == {1: 1, 2: 0}
