@@ -192,7 +192,8 @@ def repair_table(fragments: DataFrame) -> DataFrame:
 
     Verified: a form has to look less like a word than its original or be at
     least three times rarer. Forms of swapped tables, which can look sound, have
-    to be rarer *and*, if they look sound, have four letters or more. A clean
+    to be rarer *and*, if they look sound, have four letters or more. What
+    may as well be the clean word of a garbled one has to be both. A clean
     word that is itself found garbled is no original.
     """
     texts = fragments.select("text").where("text IS NOT NULL AND (length(text) <> octet_length(text) OR contains(text, '&#'))")
@@ -202,8 +203,13 @@ def repair_table(fragments: DataFrame) -> DataFrame:
     met = counts.join(forms, "word").withColumn("odd", _oddity("word"))
     rarer = F.col("n_original") >= 3 * F.col("n")
     odder = F.col("odd") > F.col("odd_original")
-    sound = (F.col("kind") < 3) & (odder | rarer) | (F.col("kind") == 3) & rarer & (odder | (F.char_length("word") >= 4) & (F.col("odd") == F.col("odd_original")))
+    # Without lost characters, what is misread as UTF-8 is the undoing of the opposite chain: mostly the clean word.
+    undoing = (F.col("kind") == 2) & ~F.contains("word", F.lit("\ufffd"))
+    sound = undoing & odder & rarer | ~undoing & (F.col("kind") < 3) & (odder | rarer) | (F.col("kind") == 3) & rarer & (odder | (F.char_length("word") >= 4) & (F.col("odd") == F.col("odd_original")))
     met = written(met.where(sound & ((F.col("kind") < 3) | (F.char_length("word") > 1))), "met")
+    # Of two words that meet each other the odder is the garbled one, or else the rarer.
+    mutual = met.select(F.col("original").alias("word"), F.col("word").alias("original"), F.lit(True).alias("mutual")).distinct()
+    met = met.join(mutual, ["word", "original"], "left").where("mutual IS NULL OR odd > odd_original OR odd = odd_original AND (n < n_original OR n = n_original AND word > original)")
     clean = met.join(met.select(F.col("word").alias("original")).distinct(), "original", "left_anti")
     best = clean.groupBy("word", "original").agg(F.max("n_original").alias("n")).groupBy("word").agg(F.max_by("original", "n").alias("original"), F.max("n").alias("most"), F.sum("n").alias("all"))
     # Several originals: the commonest stands if twenty times as common as the rest. Lost characters alone tell nothing.

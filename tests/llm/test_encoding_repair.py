@@ -75,3 +75,11 @@ def test_words_of_like_a_plain_split():
 
 def test_long_text():
     assert E.words_of(("é" * 200_000 + " a" * 200_000).encode()) == {"é" * 200_000}
+
+
+def test_garbled_words_commoner_than_clean_ones(spark):
+    """An export through the wrong encoding that is most of a language: the clean word is not taken for the garbled one."""
+    clean = "ł zgłoszeń żółtą"
+    df = frame(spark, [E._read(clean.encode(), "cp1252", "control")] * 9 + [clean])
+    assert {r["fragment_id"] for r in E.garbled_words(df).collect()} == set(range(9))
+    assert {r["text"] for r in E.restored(df).collect()} == {clean}
