@@ -36,8 +36,8 @@ SWAPPED = (
     *((a, b) for a in ("cp1250", "iso8859_2", "cp852") for b in ("latin-1", "cp1252")), ("iso8859_2", "cp1250"), ("cp1250", "iso8859_2"),
 )
 MODES = ("control", "replace", "ignore")
-#: Read wrongly twice.
-TWICE = tuple((a, b) for a in ("latin-1", "cp1252") for b in ("latin-1", "cp1252"))
+#: Read wrongly twice, by any two tables; what was read wrongly more often is undone step by step (``undone``).
+TWICE = tuple((a, b) for a in READ_UTF8_AS for b in READ_UTF8_AS)
 #: Signs that clean texts may lack and garbled ones hold: byte order mark, no-break space.
 SIGNS = ("﻿", " ")
 #: Most rows of the repair table that are broadcast; beyond, the join shuffles.
@@ -69,10 +69,13 @@ def garbled_forms(word: str) -> dict[str, int]:
     for t in READ_UTF8_AS:
         for mode in MODES:
             add(_read(raw, t, mode), 1)
+    once = {a: _read(raw, a, "control").encode("utf-8") for a in READ_UTF8_AS}
     for a, b in TWICE:
-        once = _read(raw, a, "control").encode("utf-8")
-        for mode in MODES:
-            add(_read(once, b, mode), 1)
+        try:
+            add(once[a].decode(b), 1)  # nothing lost: all modes agree
+        except UnicodeDecodeError:
+            for mode in MODES:
+                add(_read(once[a], b, mode), 1)
     for t in READ_AS_UTF8:
         for lost in ("strict", "ignore"):
             try:
@@ -90,6 +93,33 @@ def garbled_forms(word: str) -> dict[str, int]:
     return out
 
 
+def _unread(word: str, table_name: str) -> str | None:
+    """The word whose UTF-8 read by this table gives ``word``, lacking bytes as controls; None if there is none."""
+    try:
+        raw = word.encode(table_name)
+    except UnicodeEncodeError:
+        if not any("\x80" <= c <= "\x9f" for c in word):
+            return None
+        try:
+            raw = b"".join(bytes([ord(c)]) if "\x80" <= c <= "\x9f" else c.encode(table_name) for c in word)
+        except UnicodeEncodeError:
+            return None
+    try:
+        return raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return None
+
+
+def undone(word: str) -> set[str]:
+    """All words that ``word`` can come from by UTF-8 being misread any number of times without loss; each step is shorter."""
+    out: set[str] = set()
+    layer = {word}
+    while layer:
+        layer = {u for w in layer if not w.isascii() for t in READ_UTF8_AS if (u := _unread(w, t)) and not u.isascii()} - out - {word}
+        out |= layer
+    return out
+
+
 _TYPICAL = set("’‘“”„«»‹›–—…°€£§%¡¿·•")
 
 
@@ -182,6 +212,14 @@ def _garble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int32()), pa.array(cols[4], pa.int32())], names=["word", "original", "n_original", "kind", "odd_original"])
 
 
+def _undo(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each word with what it can come from, as far as that may be clean."""
+    for batch in batches:
+        words = batch.column(0).to_pylist()
+        rows = [(w, u, oddity(u)) for w in words for u in undone(w) if "\ufffd" not in u and not any("\x7f" <= c <= "\x9f" for c in u)]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int32())], names=["word", "original", "odd_original"])
+
+
 @F.pandas_udf(IntegerType())
 def _oddity(words: pd.Series) -> pd.Series:
     return words.map(oddity)
@@ -193,14 +231,16 @@ def repair_table(fragments: DataFrame) -> DataFrame:
     Verified: a form has to look less like a word than its original or be at
     least three times rarer. Forms of swapped tables, which can look sound, have
     to be rarer *and*, if they look sound, have four letters or more. What
-    may as well be the clean word of a garbled one has to be both. A clean
-    word that is itself found garbled is no original.
+    may as well be the clean word of a garbled one has to be both. An
+    original that is itself found garbled is followed to its own.
     """
     texts = fragments.select("text").where("text IS NOT NULL AND (length(text) <> octet_length(text) OR contains(text, '&#'))")
     counts = written(texts.mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     signs = fragments.sparkSession.createDataFrame([(s, 1 << 40) for s in SIGNS], "word string, n long")
     forms = counts.unionByName(signs).repartition(F.col("word")).mapInArrow(_garble, "word string, original string, n_original long, kind int, odd_original int")
-    met = counts.join(forms, "word").withColumn("odd", _oddity("word"))
+    known = counts.unionByName(signs).groupBy("word").agg(F.max("n").alias("n_original")).withColumnRenamed("word", "original")
+    undoings = counts.select("word").mapInArrow(_undo, "word string, original string, odd_original int").join(known, "original").withColumn("kind", F.lit(1))
+    met = counts.join(forms.unionByName(undoings), "word").withColumn("odd", _oddity("word"))
     rarer = F.col("n_original") >= 3 * F.col("n")
     odder = F.col("odd") > F.col("odd_original")
     # Without lost characters, what is misread as UTF-8 is the undoing of the opposite chain: mostly the clean word.
@@ -210,8 +250,18 @@ def repair_table(fragments: DataFrame) -> DataFrame:
     # Of two words that meet each other the odder is the garbled one, or else the rarer.
     mutual = met.select(F.col("original").alias("word"), F.col("word").alias("original"), F.lit(True).alias("mutual")).distinct()
     met = met.join(mutual, ["word", "original"], "left").where("mutual IS NULL OR odd > odd_original OR odd = odd_original AND (n < n_original OR n = n_original AND word > original)")
-    clean = met.join(met.select(F.col("word").alias("original")).distinct(), "original", "left_anti")
-    best = clean.groupBy("word", "original").agg(F.max("n_original").alias("n")).groupBy("word").agg(F.max_by("original", "n").alias("original"), F.max("n").alias("most"), F.sum("n").alias("all"))
+    met = written(met.drop("mutual"), "settled")
+    clean = met.join(met.select(F.col("word").alias("original")).distinct(), "original", "left_anti").select("word", "original", "n_original")
+    # An original that is garbled itself stands for its own originals; the words left become fewer with each step.
+    resolved, left = clean, met.where("odd > odd_original").join(clean, "word", "left_anti").select("word", F.col("original").alias("step"))
+    while True:
+        found = left.join(resolved.withColumnRenamed("word", "step"), "step").where("word <> original").groupBy("word", "original").agg(F.max("n_original").alias("n_original"))
+        found = written(found, "followed")
+        if not found.head(1):
+            break
+        resolved = resolved.unionByName(found)
+        left = left.join(found, "word", "left_anti")
+    best = resolved.groupBy("word", "original").agg(F.max("n_original").alias("n")).groupBy("word").agg(F.max_by("original", "n").alias("original"), F.max("n").alias("most"), F.sum("n").alias("all"))
     # Several originals: the commonest stands if twenty times as common as the rest. Lost characters alone tell nothing.
     return best.select("word", F.when((F.col("most") * 21 >= F.col("all") * 20) & F.col("word").rlike("[^\ufffd]"), F.col("original")).alias("original"))
 

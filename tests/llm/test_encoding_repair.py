@@ -83,3 +83,29 @@ def test_garbled_words_commoner_than_clean_ones(spark):
     df = frame(spark, [E._read(clean.encode(), "cp1252", "control")] * 9 + [clean])
     assert {r["fragment_id"] for r in E.garbled_words(df).collect()} == set(range(9))
     assert {r["text"] for r in E.restored(df).collect()} == {clean}
+
+
+def test_more_than_once_through_other_tables(spark):
+    """Twice through any pair of tables, three times, and with the word garbled once in the corpus too."""
+    clean = "Прüfstelle żółtą качества"
+    chains = (("cp1251", "cp1251"), ("mac_roman", "cp437"), ("koi8_r", "cp866"), ("cp1250", "cp1252"), ("cp1251", "cp1251", "cp1251"), ("latin-1", "cp850", "cp1252"), ("cp1251",))
+    bad = []
+    for chain in chains:
+        t = clean
+        for x in chain:
+            t = E._read(t.encode(), x, "control")
+        bad.append(t)
+    df = frame(spark, [clean] * 4 + bad).cache()
+    assert {r["fragment_id"] for r in E.garbled_words(df).collect()} == set(range(4, 4 + len(bad)))
+    whole = {"Прüfstelle", "żółtą", "качества"}
+    for r in E.restored(df).collect():
+        assert set(r["text"].split()) == whole
+
+
+def test_undone():
+    for chain in (("latin-1",) * 4, ("cp1251", "mac_roman", "cp866", "cp1252")):
+        t = "żółtą"
+        for x in chain:
+            t = E._read(t.encode(), x, "control")
+        assert "żółtą" in E.undone(t)
+    assert E.undone("żółtą") == set()
