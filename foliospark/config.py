@@ -35,6 +35,7 @@ class Settings:
     prompt_budget_tokens: int = _setting("prompt_budget_tokens", 512)
     chunk_overlap_tokens: int = _setting("chunk_overlap_tokens", 128)
     tokenizer_name: str = _setting("tokenizer_name", "words")
+    tokenizer_files: str = _setting("tokenizer_files", "")
     llm_backend: str = _setting("llm_backend", "ollama")
     llm_base_url: str = _setting("llm_base_url", "http://localhost:11434")
     model_name: str = _setting("model_name", "llama3.1:70b")
@@ -46,7 +47,6 @@ class Settings:
     output_format: str = _setting("output_format", "jsonl")
     jsonl_schema: str = _setting("jsonl_schema", "alpaca")
     checkpoint_dir: str = _setting("checkpoint_dir", "./data/state")
-    batch_commit_size: int = _setting("batch_commit_size", 50)
     rows_per_shard: int = _setting("rows_per_shard", 50_000)
 
     def __post_init__(self) -> None:

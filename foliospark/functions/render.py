@@ -35,12 +35,6 @@ def flatten_json(c: Column) -> Column:
     return F.pandas_udf(lambda s: s.map(_flattened, na_action="ignore"), StringType())(c)
 
 
-def flatten_json_native(c: Column, keys: list[str]) -> Column:
-    """The same for flat objects of known keys, without leaving the JVM."""
-    parts = [F.when(F.get_json_object(c, f"$.{k}").isNotNull(), F.concat(F.lit(f"{k}: "), F.get_json_object(c, f"$.{k}"))) for k in keys]
-    return F.concat_ws("\n", *parts)
-
-
 def row_text(columns: list[str]) -> Column:
     """``key: value | key: value`` over the values that are neither null nor empty."""
     parts = [F.when(F.col(c).cast("string") != "", F.concat(F.lit(f"{c}: "), F.col(c).cast("string"))) for c in columns]
@@ -52,6 +46,12 @@ def table_text(rows: Column) -> Column:
     return F.array_join(F.transform(rows, lambda r: F.array_join(F.transform(r, lambda x: strip(x)), " | ")), "\n")
 
 
+def ordered_text(order: list[str], value: str, sep: str) -> Column:
+    """An aggregate: the values of a group in the order of columns, joined."""
+    rows = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("_value"))))
+    return F.array_join(F.transform(rows, lambda r: r["_value"]), sep)
+
+
 def metadata_map(metadata: Column) -> Column:
     """Provenance and ``extra`` in one map; a key of ``extra`` wins over a built-in one."""
     base = F.create_map(

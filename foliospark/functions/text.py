@@ -9,7 +9,6 @@ built-in function has, go through Python, and only texts that hold a ``&``.
 from __future__ import annotations
 
 import html
-import re
 import unicodedata
 from collections.abc import Callable
 from functools import reduce
@@ -167,34 +166,3 @@ def line_buckets(c: Column, size: int = 200) -> Column:
 
     # A transform over one element binds the lines, which the lambda would otherwise split again for each bucket.
     return F.flatten(F.transform(F.array(lines_kept(c)), made))
-
-
-# HTML. Elements whose content is no text of the page.
-BOILERPLATE = ("script", "style", "nav", "footer", "header", "aside", "noscript")
-_GAP = "\x01"
-
-
-def html_text(c: Column) -> Column:
-    """Text of a page, a line feed for each run of tags, entities read last."""
-    bare = _sub(c, (rf"(?is)<({'|'.join(BOILERPLATE)})\b[^>]*>.*?</\1\s*>", "<x>"), (r"(?s)<!--.*?-->", "<x>"), (r"(?s)<!doctype[^>]*>|<\?[^>]*\?>", "<x>"))
-    joined = _sub(bare, (r"(?s)(?:<[^>]+>)+", _GAP), (rf"\A{_GAP}+|{_GAP}+\z", ""), (_GAP, "\n"))
-    # Without a look for ``&`` first: it would compute the long expression again, and few pages have none.
-    return F.pandas_udf(_unescape, StringType())(joined)
-
-
-def html_title(c: Column) -> Column:
-    found = F.regexp_extract(c, r"(?is)<title[^>]*>(.*?)</title\s*>", 1)
-    return F.when(found != "", strip(strip_html_entities(found)))
-
-
-def html_paragraphs(c: Column) -> Column:
-    text = F.regexp_replace(html_text(c), r"\n{3,}", "\n\n")
-    return F.filter(F.transform(F.split(text, "\n\n"), strip), lambda p: p != "")
-
-
-def python_strip_markdown(text: str) -> str:
-    """The Markdown rules for a reader that runs in Python anyway."""
-    for pattern, to in MARKDOWN:
-        flags = re.M if pattern.startswith("(?md") else 0
-        text = re.sub(re.sub(r"^\(\?\w+\)", "", pattern).replace(_S, r"\s"), to.replace("$1", r"\1"), text, flags=flags)
-    return text

@@ -1,92 +1,100 @@
 """Texts into chunks of a token budget: greedy packing of sentences with overlap.
 
-A chunk, and the overlap it leaves to the next, are always runs of consecutive
-sentences. So the fold over a text's sentences carries only where the open run
-begins, its tokens, and the bounds of the runs that are done; texts are cut
-from the array of sentences at the end. It is linear in the sentences but for
-the overlap, which looks back over one run. Everything stays in the JVM.
+Whether a text fits is decided by a native expression (or, under a vocabulary,
+an Arrow count); only texts above the budget go on. Packing is a fold with state
+that looks back, which a lambda in the JVM can only do by copying its arrays at
+each step; so the sentences, cut in the JVM, are packed in Arrow batches, in
+time linear in the text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from foliospark.functions import text as T
 from foliospark.functions import tokens as K
 
-_RUN = "struct<a:int,b:int,hard:boolean>"
-
-
-def hard_split(c: Column, budget: int) -> Column:
-    """A text of words only: a word costs one token, so ``budget`` words make a part."""
-    # A transform over one element binds the words: the lambda inside would split them again for each part.
-    parts = lambda w: F.transform(F.sequence(F.lit(0), F.ceil(F.size(w) / budget).cast("int") - 1), lambda i: F.array_join(F.slice(w, i * budget + 1, budget), " "))
-    return F.flatten(F.transform(F.array(T.words(c)), parts))
 
+def word_parts(text: str, budget: int, size: Callable[[str], int]) -> list[str]:
+    """A text of words only: words one by one until the next would exceed the budget; a word above it is a part of its own."""
+    parts: list[list[str]] = []
+    room = 0
+    for word in text.split():
+        cost = size(word)
+        if not parts or cost > room:
+            parts.append([])
+            room = budget
+        parts[-1].append(word)
+        room -= cost
+    return [" ".join(p) for p in parts]
 
-def _run(a: Column, b: Column, hard: bool) -> Column:
-    return F.array(F.struct(a.cast("int").alias("a"), b.cast("int").alias("b"), F.lit(hard).alias("hard")))
 
+def packed(sentences: list[str], budget: int, overlap: int, size: Callable[[str], int], strict: bool = False) -> list[str]:
+    """Chunks of consecutive sentences; sentences above the budget are cut by words.
 
-def packed_runs(sizes: Column, budget: int, overlap: int, strict: bool = False) -> Column:
-    """Bounds (1-based) of the chunks over an array of sentence sizes.
-
-    ``strict`` drops as much of the overlap as the budget asks for and makes
-    parts of long sentences smaller; without it a chunk may exceed the budget.
-    """
-    ints = "array<int>"
-    start = F.struct(F.lit(1).alias("a"), F.lit(0).alias("n"), F.array().cast(ints).alias("ks"), F.array().cast(f"array<{_RUN}>").alias("out"))
-
-    def fold(state: Column, x: Column) -> Column:
-        i, k = x["i"], x["k"]
-        a, n, ks, out = state["a"], state["n"], state["ks"], state["out"]
-        closed = F.when(F.size(ks) > 0, F.concat(out, _run(a, i - 1, False))).otherwise(out)
-        # The longest suffix of the open run that fits the overlap: sizes are positive, so it ends at the first misfit.
-        room = F.least(F.lit(overlap), F.lit(budget) - k) if strict else F.lit(overlap)
-        kept = F.aggregate(
-            F.reverse(ks),
-            F.struct(F.array().cast(ints).alias("ks"), F.lit(0).alias("t"), F.lit(True).alias("go")),
-            lambda s, y: F.when(s["go"] & (s["t"] + y <= room), F.struct(F.concat(F.array(y), s["ks"]).alias("ks"), (s["t"] + y).alias("t"), F.lit(True).alias("go"))).otherwise(
-                F.struct(s["ks"].alias("ks"), s["t"].alias("t"), F.lit(False).alias("go"))
-            ),
-            lambda s: s["ks"],
-        )
-        over = F.struct((i + 1).alias("a"), F.lit(0).alias("n"), F.array().cast(ints).alias("ks"), F.concat(closed, _run(i, i, True)).alias("out"))
-        # Bound once, as above.
-        next_ = F.transform(
-            F.array(kept),
-            lambda t: F.struct((i - F.size(t)).alias("a"), (F.aggregate(t, F.lit(0), lambda u, v: u + v) + k).alias("n"), F.concat(t, F.array(k)).alias("ks"), closed.alias("out")),
-        )[0]
-        more = F.struct(a.alias("a"), (n + k).alias("n"), F.concat(ks, F.array(k)).alias("ks"), out.alias("out"))
-        return F.when(k > budget, over).when(n + k > budget, next_).otherwise(more)
-
-    numbered = F.transform(sizes, lambda k, i: F.struct((i + 1).cast("int").alias("i"), k.cast("int").alias("k")))
-    return F.aggregate(numbered, start, fold, lambda s: F.when(F.size(s["ks"]) > 0, F.concat(s["out"], _run(s["a"], s["a"] + F.size(s["ks"]) - 1, False))).otherwise(s["out"]))
-
-
-def with_chunks(df: DataFrame, budget: int, overlap: int, text: str = "text", strict: bool = False, into: str = "chunks") -> DataFrame:
-    """The columns of ``df`` and an array of chunks; a text within the budget is its only chunk, untouched; null of null.
-
-    Sentences and bounds are columns of their own on the way, so that the
-    lambdas refer to them and do not compute them again for each element.
+    A full chunk hands its last sentences on, as many as fit the overlap; with
+    that a chunk may exceed the budget. ``strict`` hands on no more than leaves
+    room for the next sentence, and makes parts that fit when counted whole.
     """
+    part = max(1, (10 * budget + 9) // 13) if strict else budget
+    sizes = [size(s) for s in sentences]
+    out: list[str] = []
+    first, held = 0, 0  # the open chunk: sentences from ``first``, of so many tokens
+    for i, n in enumerate(sizes):
+        if n > budget:
+            if first < i:
+                out.append(" ".join(sentences[first:i]))
+            out += word_parts(sentences[i], part, size)
+            first, held = i + 1, 0
+            continue
+        if held + n > budget:
+            out.append(" ".join(sentences[first:i]))
+            room = min(overlap, budget - n) if strict else overlap
+            start, held = i, 0
+            while start > first and held + sizes[start - 1] <= room:
+                start -= 1
+                held += sizes[start]
+            first = start
+        held += n
+    if first < len(sentences):
+        out.append(" ".join(sentences[first:]))
+    return out
+
+
+def hard_split(c: Column, budget: int, tokenizer: str = K.WORDS) -> Column:
+    """An array of parts of so many tokens, word by word; empty for a blank text, null of null."""
+
+    def cut(texts: pd.Series) -> pd.Series:
+        size = K.sizer(tokenizer)
+        return texts.map(lambda t: word_parts(t, budget, size), na_action="ignore")
+
+    return F.pandas_udf(cut, ArrayType(StringType()))(c)
+
+
+def with_chunks(df: DataFrame, budget: int, overlap: int, text: str = "text", strict: bool = False, into: str = "chunks", tokenizer: str = K.WORDS) -> DataFrame:
+    """The columns of ``df`` and an array of chunks; a text within the budget is its only chunk, untouched; null of null."""
     if budget <= 0:
         raise ValueError("the budget must be positive")
+
+    def cut(arrays: pd.Series) -> pd.Series:
+        size = K.sizer(tokenizer)
+        return arrays.map(lambda s: packed(list(s), budget, overlap, size, strict), na_action="ignore")
+
     c = F.col(f"`{text}`")
-    # Counted one by one, a word costs a token; a strict part has to fit when it is counted whole.
-    part = max(1, (10 * budget + 9) // 13) if strict else budget
-    fits = K.estimated(c) <= budget
-    staged = df.withColumn("_sentences", F.when(~fits, T.sentences(c)))
-    s = F.col("_sentences")
-    staged = staged.withColumn("_runs", F.when(s.isNotNull(), packed_runs(F.transform(s, K.estimated), budget, overlap, strict)))
-    cut = F.flatten(F.transform(F.col("_runs"), lambda r: F.when(r["hard"], hard_split(F.element_at(s, r["a"]), part)).otherwise(F.array(F.array_join(F.slice(s, r["a"], r["b"] - r["a"] + 1), " ")))))
-    return staged.withColumn(into, F.when(s.isNotNull(), cut).when(c.isNotNull(), F.array(c))).drop("_sentences", "_runs")
+    # Columns of their own on the way: a text is counted and cut once.
+    staged = df.withColumn("_fits", K.counted(c, tokenizer) <= budget)
+    staged = staged.withColumn("_packed", F.pandas_udf(cut, ArrayType(StringType()))(F.when(~F.col("_fits"), T.sentences(c))))
+    return staged.withColumn(into, F.when(~F.col("_fits"), F.col("_packed")).when(c.isNotNull(), F.array(c))).drop("_fits", "_packed")
 
 
-def chunked(df: DataFrame, budget: int, overlap: int, text: str = "text", strict: bool = False) -> DataFrame:
+def chunked(df: DataFrame, budget: int, overlap: int, text: str = "text", strict: bool = False, tokenizer: str = K.WORDS) -> DataFrame:
     """One row per chunk: the other columns, ``chunk_index`` anew for each row, and the chunk in place of the text; a null text gives none."""
     rest = [F.col(f"`{x}`") for x in df.columns if x not in (text, "chunk_index")]
     # Outer, and the nulls dropped after: for an inner one Catalyst infers a filter on the array, which computes it twice.
-    cut = with_chunks(df, budget, overlap, text, strict, "_chunks").select(*rest, F.posexplode_outer("_chunks").alias("chunk_index", text))
+    cut = with_chunks(df, budget, overlap, text, strict, "_chunks", tokenizer).select(*rest, F.posexplode_outer("_chunks").alias("chunk_index", text))
     return cut.where(F.col("chunk_index").isNotNull())

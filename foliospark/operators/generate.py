@@ -1,32 +1,32 @@
 """Language-model calls as a map over partitions, with bounded fan-out, retries and mapped errors.
 
 Calls are costly and never the same twice, so their raw answers are written
-once to the shared folder and read back (``answered``): later stages, retried
-or not, do not call again. Speculation should be off for this stage. Calls at
-once are partitions in progress times ``max_concurrent``.
+once to the shared folder and read back: later stages, retried or not, do not
+call again. Speculation should be off for this stage. ``spread`` makes no more
+partitions than calls are allowed at once, and each gets its part of them, so
+``max_concurrent_llm_calls`` bounds the whole job.
 """
 
 from __future__ import annotations
 
+import http.client
 import json
-import socket
+import threading
 import time
-import urllib.error
-import urllib.request
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Protocol
+from urllib.parse import urlsplit
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.config import Settings
-from foliospark.errors import LLMConnection, LLMError, LLMMalformedResponse, LLMRateLimit, LLMTimeout
+from foliospark.errors import CallFailure, LLMConnection, LLMMalformedResponse, LLMRateLimit, LLMTimeout
 from foliospark.operators.records import extract_json
 from foliospark.registry import adapters, register_adapter
-from foliospark.storage import written
 
 #: (url, body or None for GET, timeout) -> (status, body). Replaced by a fake in tests.
 Transport = Callable[[str, bytes | None, float], tuple[int, bytes]]
@@ -39,13 +39,54 @@ class Adapter(Protocol):
     def health_check(self) -> bool: ...
 
 
-def http(url: str, body: bytes | None, timeout: float) -> tuple[int, bytes]:
-    request = urllib.request.Request(url, data=body, headers={"Content-Type": "application/json"})
-    try:
-        with urllib.request.urlopen(request, timeout=timeout) as r:
-            return r.status, r.read()
-    except urllib.error.HTTPError as e:
-        return e.code, e.read()
+class Http:
+    """Connections kept open, one for each thread and host, until ``close``.
+
+    Connecting may take ``CONNECT_SECONDS``, an answer the call's own timeout. A
+    kept connection that the server has closed is opened anew once.
+    """
+
+    def __init__(self) -> None:
+        self.local, self.opened, self.lock = threading.local(), [], threading.Lock()
+
+    def __reduce__(self):
+        return Http, ()  # connections stay where they are
+
+    def __call__(self, url: str, body: bytes | None, timeout: float) -> tuple[int, bytes]:
+        at = urlsplit(url)
+        known = self.local.__dict__.setdefault("by_host", {})
+        for fresh in (False, True):
+            kept = known.get(at[:2])
+            if kept is None:
+                made = (http.client.HTTPSConnection if at.scheme == "https" else http.client.HTTPConnection)(at.hostname, at.port, timeout=min(CONNECT_SECONDS, timeout))
+                made.connect()
+                with self.lock:
+                    self.opened.append(made)
+                known[at[:2]] = made
+            link = known[at[:2]]
+            link.sock.settimeout(timeout)
+            try:
+                link.request("GET" if body is None else "POST", (at.path or "/") + (f"?{at.query}" if at.query else ""), body, {"Content-Type": "application/json"})
+                answer = link.getresponse()
+                got = answer.status, answer.read()
+                if link.sock is None:  # the server wants it closed
+                    del known[at[:2]]
+                return got
+            except (http.client.RemoteDisconnected, ConnectionResetError, BrokenPipeError):
+                link.close()
+                del known[at[:2]]
+                if kept is None or fresh:
+                    raise
+            except BaseException:
+                link.close()
+                del known[at[:2]]
+                raise
+        raise AssertionError("unreachable")
+
+    def close(self) -> None:
+        with self.lock:
+            while self.opened:
+                self.opened.pop().close()
 
 
 @dataclass(frozen=True)
@@ -55,22 +96,18 @@ class Endpoint:
     base_url: str
     model: str
     timeout: float = 120.0
-    transport: Transport = http
+    transport: Transport = field(default_factory=Http)
 
     @classmethod
-    def of(cls, settings: Settings, transport: Transport = http):
-        return cls(settings.llm_base_url.rstrip("/"), settings.model_name, settings.llm_timeout_seconds, transport)
+    def of(cls, settings: Settings, transport: Transport | None = None):
+        return cls(settings.llm_base_url.rstrip("/"), settings.model_name, settings.llm_timeout_seconds, transport or Http())
 
     def call(self, path: str, payload: dict | None) -> dict:
         try:
             status, body = self.transport(self.base_url + path, None if payload is None else json.dumps(payload).encode(), self.timeout)
-        except (TimeoutError, socket.timeout) as e:
+        except TimeoutError as e:
             raise LLMTimeout(f"no answer within {self.timeout} s") from e
-        except urllib.error.URLError as e:
-            if isinstance(e.reason, TimeoutError):
-                raise LLMTimeout(f"no answer within {self.timeout} s") from e
-            raise LLMConnection(str(e.reason)) from e
-        except OSError as e:
+        except (OSError, http.client.HTTPException) as e:
             raise LLMConnection(str(e)) from e
         if status == 429:
             raise LLMRateLimit("HTTP 429")
@@ -81,6 +118,10 @@ class Endpoint:
         except ValueError as e:
             raise LLMMalformedResponse(body[:200].decode("utf-8", "replace")) from e
 
+    def close(self) -> None:
+        """Close what the transport keeps open."""
+        getattr(self.transport, "close", lambda: None)()
+
     def generate(self, prompt: str, system: str = "", temperature: float = 0.7, max_tokens: int | None = None) -> str:
         raise NotImplementedError
 
@@ -103,7 +144,7 @@ class OllamaAdapter(Endpoint):
     def health_check(self) -> bool:
         try:
             return isinstance(self.call("/api/tags", None), dict)
-        except LLMError:
+        except CallFailure:
             return False
 
 
@@ -111,7 +152,7 @@ class OllamaAdapter(Endpoint):
 class ChatAdapter(Endpoint):
     def generate(self, prompt: str, system: str = "", temperature: float = 0.7, max_tokens: int | None = None) -> str:
         messages = ([{"role": "system", "content": system}] if system else []) + [{"role": "user", "content": prompt}]
-        payload = {"model": self.model, "messages": messages, "temperature": temperature} | ({"max_tokens": max_tokens} if max_tokens else {})
+        payload = {"model": self.model, "messages": messages, "temperature": temperature, "stream": False} | ({"max_tokens": max_tokens} if max_tokens else {})
         answer = self.call("/chat/completions", payload)
         try:
             return answer["choices"][0]["message"]["content"]
@@ -124,12 +165,12 @@ class ChatAdapter(Endpoint):
             try:
                 probe()
                 return True
-            except LLMError:
+            except CallFailure:
                 continue
         return False
 
 
-def adapter_of(settings: Settings, transport: Transport = http):
+def adapter_of(settings: Settings, transport: Transport | None = None):
     made = adapters.get(settings.llm_backend)
     if made is None:
         raise ValueError(f"unknown backend {settings.llm_backend!r}; known: {', '.join(adapters.keys())}")
@@ -141,8 +182,8 @@ def with_retries(call: Callable[[], str], attempts: int, base: float, sleep: Cal
     for k in range(attempts):
         try:
             return call(), k + 1
-        except (LLMTimeout, LLMRateLimit):
-            if k + 1 == attempts:
+        except CallFailure as e:
+            if not e.passing or k + 1 == attempts:
                 raise
             sleep(base**k)
     raise ValueError("attempts must be at least 1")
@@ -150,6 +191,7 @@ def with_retries(call: Callable[[], str], attempts: int, base: float, sleep: Cal
 
 def answers(df: DataFrame, adapter: Adapter, settings: Settings, prompt: str = "prompt", sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """The columns of ``df`` and ``raw, attempts, error_class, error_msg``; a null prompt is not sent. Lazy: see ``answered``."""
+    calls = max(1, settings.max_concurrent_llm_calls // _partitions(df.sparkSession, settings))
     names = df.columns
     at = names.index(prompt)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", raw string, attempts int, error_class string, error_msg string"
@@ -167,26 +209,26 @@ def answers(df: DataFrame, adapter: Adapter, settings: Settings, prompt: str = "
         try:
             raw, _ = with_retries(once, settings.llm_max_retries, settings.llm_retry_backoff_base, sleep)
             return raw, used, None, None
-        except LLMError as e:
+        except CallFailure as e:
             return None, used, type(e).__name__, str(e)[:500]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with ThreadPoolExecutor(settings.max_concurrent_llm_calls) as pool:
-            for b in batches:
-                got = list(pool.map(ask, b.column(at).to_pylist()))
-                cols = [pa.array(c, t) for c, t in zip(zip(*got) if got else [[]] * 4, (pa.string(), pa.int32(), pa.string(), pa.string()))]
-                yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*names, "raw", "attempts", "error_class", "error_msg"])
+        try:
+            with ThreadPoolExecutor(calls) as pool:
+                for b in batches:
+                    got = list(pool.map(ask, b.column(at).to_pylist()))
+                    cols = [pa.array(c, t) for c, t in zip(zip(*got) if got else [[]] * 4, (pa.string(), pa.int32(), pa.string(), pa.string()))]
+                    yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*names, "raw", "attempts", "error_class", "error_msg"])
+        finally:
+            getattr(adapter, "close", lambda: None)()
 
     return df.mapInArrow(run, schema)
 
 
-def answered(df: DataFrame, adapter: Adapter, settings: Settings, prompt: str = "prompt", partitions: int | None = None) -> DataFrame:
-    """``answers``, called once and kept. Prompts are spread evenly first, over so many partitions as calls are wanted at once."""
-    # By hash, so that a task that is run again gets the same rows; a number that is given is not coalesced.
-    spread = df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism, F.xxhash64(prompt))
-    return written(answers(spread, adapter, settings, prompt), "answers")
+def _partitions(spark: SparkSession, settings: Settings) -> int:
+    return max(1, min(spark.sparkContext.defaultParallelism, settings.max_concurrent_llm_calls))
 
 
-def prompt_key(model: str, prompt: str = "prompt"):
-    """Key of a call for caches across runs."""
-    return F.sha2(F.concat_ws("\0", F.lit(model), F.col(prompt)), 256)
+def spread(df: DataFrame, settings: Settings, prompt: str = "prompt") -> DataFrame:
+    """Prompts evenly over the partitions that may call at once; by hash, so that a task that is run again gets the same rows."""
+    return df.repartition(_partitions(df.sparkSession, settings), F.xxhash64(prompt))

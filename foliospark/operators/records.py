@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,18 +28,18 @@ def prompt(text: Column) -> Column:
 
 
 def unfenced(raw: str) -> str:
-    return _FENCE.sub("", raw).strip().rstrip("`")
+    """Without Markdown fences and without back quotes at the end."""
+    return "".join(part for part in _FENCE.split(raw)).strip().rstrip("`")
 
 
 def extract_json(raw: str):
     """The JSON of a noisy answer: all of it, else from the first brace to the last, else the same without Markdown fences; ``ValueError`` if there is none."""
-    clean = unfenced(raw)
-    for text in (raw, _braces(raw), clean, _braces(clean)):
-        if text is not None:
+    for source in (raw, unfenced(raw)):
+        for text in filter(None, (source, _braces(source))):
             try:
                 return json.loads(text)
             except ValueError:
-                continue
+                pass
     raise ValueError("no JSON in the answer")
 
 
@@ -75,19 +75,15 @@ def parse_answers(raw: Column, parser: Callable[[str | None], dict] | None = Non
     return F.pandas_udf(lambda s: pd.DataFrame([one(x if isinstance(x, str) else None) for x in s], columns=PARSED.fieldNames()), PARSED)(raw)
 
 
-def parse_answers_native(raw: Column) -> Column:
-    """The same for answers that hold flat Alpaca objects, without Python."""
-    schema = "instruction string, input string, output string"
-    found = F.regexp_extract(raw, r"(?s)\{.*\}", 0)
-    whole = F.when(F.try_parse_json(raw).isNotNull(), raw).when((found != "") & F.try_parse_json(found).isNotNull(), found)
-    made = F.from_json(whole, schema)
-    return F.when(whole.isNotNull(), made).otherwise(F.struct(F.lit("").alias("instruction"), F.lit("").alias("input"), raw.alias("output")))
+def successful(parsed: DataFrame) -> DataFrame:
+    """Answers that became records: no error, and an output."""
+    return parsed.where("error_class IS NULL AND output IS NOT NULL")
 
 
-def alpaca(df: DataFrame, answer: str = "answer", metadata: str = "metadata") -> DataFrame:
-    """``instruction, input, output, _metadata, chunk_index, error_class`` from parsed answers and provenance."""
+def alpaca(df: DataFrame, answer: str = "answer", metadata: str = "metadata", keep: Sequence[str | Column] = ()) -> DataFrame:
+    """``instruction, input, output, _metadata, chunk_index, error_class`` from parsed answers and provenance, and what is to be kept beside."""
     index = F.col("chunk_index") if "chunk_index" in df.columns else F.lit(None).cast("int")
-    return df.select(f"{answer}.instruction", f"{answer}.input", f"{answer}.output", metadata_map(F.col(metadata)).alias("_metadata"), index.alias("chunk_index"), f"{answer}.error_class")
+    return df.select(f"{answer}.instruction", f"{answer}.input", f"{answer}.output", metadata_map(F.col(metadata)).alias("_metadata"), index.alias("chunk_index"), f"{answer}.error_class", *keep)
 
 
 def sharegpt(instruction: Column, given: Column, output: Column) -> Column:

@@ -6,20 +6,28 @@ operators on rows (rendering, anti join); the others read the pipeline's tables.
 
 from __future__ import annotations
 
+import atexit
+import base64
+import shutil
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliospark.config import Settings
+from foliospark.functions import html as H
 from foliospark.functions import render
 from foliospark.functions import text as T
 from foliospark.functions import tokens as K
+from foliospark.functions.tokens import tokenizer_path
 from foliospark.operators import records as R
 from foliospark.operators import state as C
 from foliospark.operators.chunk import chunked, hard_split, with_chunks
 from foliospark.operators.normalize import normalized
 from foliospark.plans.pipeline import per_file_counts
 from foliospark.sinks.writers import shard_numbers, split_valid
-from foliospark.sources.files import extension, guarded, in_order, pending
+from foliospark.sources.files import counts, extension, guarded, in_order, pending
+from foliospark.sources.readers import sparse
 from foliospark.storage import table
 
 QUERIES: dict = {}
@@ -137,11 +145,15 @@ def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fragments(spark, sf_dir).select("fragment_id", K.estimated(F.col("text")).alias("tokens"))
 
 
-def _chunk_sql(budget: int, overlap: int) -> str:
-    """The packing as a recursive table, a sentence a step: bounds of the open run and of the runs that are done."""
-    size = _tokens("x")
+def _chunk_sql(budget: int, overlap: int, source: str = "SELECT doc_id, text FROM documents", size: str | None = None, word: str = "1") -> str:
+    """The packing as a recursive table, a sentence a step: bounds of the open run and of the runs that are done. Words of long sentences likewise.
+
+    ``size`` is the cost of a text ``x``, ``word`` that of a word ``x`` on its own.
+    """
+    size = size or _tokens("x")
     return f"""
-WITH RECURSIVE d AS (SELECT doc_id, text, {_tokens("text")} AS total, {_CUTS} AS s FROM documents),
+WITH RECURSIVE src AS ({source}),
+d AS (SELECT doc_id, text, {size.replace("x", "text") if size == "strlen(x)" else _tokens("text")} AS total, {_CUTS} AS s FROM src),
 big AS (SELECT doc_id, s, list_transform(s, lambda x: {size}) AS k FROM d WHERE total > {budget}),
 step AS (
   SELECT doc_id, s, k, 1 AS i, 1 AS a, 0 AS n, CAST([] AS STRUCT(a BIGINT, b BIGINT, hard BOOLEAN)[]) AS done FROM big
@@ -152,7 +164,14 @@ step AS (
          CASE WHEN k[i] > {budget} OR n + k[i] > {budget} THEN list_concat(done, CASE WHEN a < i THEN [{{'a': a, 'b': i - 1, 'hard': FALSE}}] ELSE [] END, CASE WHEN k[i] > {budget} THEN [{{'a': i, 'b': i, 'hard': TRUE}}] ELSE [] END) ELSE done END
   FROM (SELECT *, len(list_filter(range(a, i), lambda y: list_sum(list_slice(k, y, i - 1)) <= {overlap})) AS keep FROM step) WHERE i <= len(s)),
 runs AS (SELECT doc_id, s, CASE WHEN a <= len(s) THEN list_append(done, {{'a': a, 'b': len(s), 'hard': FALSE}}) ELSE done END AS r FROM step WHERE i = len(s) + 1),
-cut AS (SELECT doc_id, flatten(list_transform(r, lambda x: CASE WHEN x.hard THEN list_transform(range(0, len(regexp_extract_all(s[x.a], '{_NW}+')), {budget}), lambda o: array_to_string(list_slice(regexp_extract_all(s[x.a], '{_NW}+'), o + 1, o + {budget}), ' ')) ELSE [array_to_string(list_slice(s, x.a, x.b), ' ')] END)) AS c FROM runs
+long AS (SELECT DISTINCT t, regexp_extract_all(t, '{_NW}+') AS w FROM (SELECT s[x.a] AS t FROM (SELECT s, unnest(r) AS x FROM runs) WHERE x.hard)),
+words AS (
+  SELECT t, w, 1 AS i, 0 AS n, CAST([] AS BIGINT[]) AS starts FROM long
+  UNION ALL
+  SELECT t, w, i + 1, CASE WHEN starts = [] OR n + c > {budget} THEN c ELSE n + c END, CASE WHEN starts = [] OR n + c > {budget} THEN list_append(starts, i) ELSE starts END FROM (SELECT *, w[i] AS x, CAST({word.replace("x", "w[i]")} AS BIGINT) AS c FROM words) WHERE i <= len(w)),
+parts AS (SELECT t, list_transform(starts, lambda b, j: array_to_string(list_slice(w, b, coalesce(starts[j + 1] - 1, len(w))), ' ')) AS p FROM words WHERE i = len(w) + 1),
+pieces AS (SELECT doc_id, j, CASE WHEN x.hard THEN p ELSE [array_to_string(list_slice(s, x.a, x.b), ' ')] END AS c FROM (SELECT doc_id, s, unnest(r) AS x, unnest(range(len(r))) AS j FROM runs) LEFT JOIN parts ON x.hard AND t = s[x.a]),
+cut AS (SELECT doc_id, flatten(list(c ORDER BY j)) AS c FROM pieces GROUP BY doc_id
         UNION ALL SELECT doc_id, [text] FROM d WHERE total <= {budget})
 SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, c[i + 1] AS text FROM (SELECT doc_id, c, unnest(range(len(c))) AS i FROM cut)
 """
@@ -174,13 +193,36 @@ def chunk_tiny_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunked(table(spark, sf_dir, "documents", ["doc_id", "text"]), 12, 5)
 
 
-@query("chunk_documents")
+_NORMALIZED = f"SELECT * FROM (SELECT doc_id, {_FULL} AS text FROM documents) WHERE regexp_matches(text, '{_NW}')"
+
+
+@query("chunk_documents", f"SELECT *, {_tokens('text')} AS tokens FROM ({_chunk_sql(1024, 96, _NORMALIZED)})")
 def chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The deterministic core from end to end: normalised, blank ones dropped, chunked, counted."""
     clean = normalized(table(spark, sf_dir, "documents", ["doc_id", "text"]))
     return chunked(clean, 1024, 96).withColumn("tokens", K.estimated(F.col("text")))
 
 
+def _byte_vocabulary(spark: SparkSession) -> str:
+    """A vocabulary of single bytes, whose counts SQL can tell: a text has as many tokens as bytes. For one machine, as the queries that read it are."""
+    folder = tempfile.mkdtemp(prefix="foliospark-bytes-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    with open(f"{folder}/bytes.tiktoken", "w") as f:
+        f.writelines(f"{base64.b64encode(bytes([b])).decode()} {b}\n" for b in range(256))
+    return tokenizer_path("bytes", folder)
+
+
+@query("token_count_exact", "SELECT fragment_id, CAST(strlen(text) AS INTEGER) AS tokens FROM fragments")
+def token_count_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fragments(spark, sf_dir).select("fragment_id", K.counted(F.col("text"), _byte_vocabulary(spark)).alias("tokens"))
+
+
+@query("chunk_exact_tokens", _chunk_sql(2000, 300, size="strlen(x)", word="strlen(x)"))
+def chunk_exact_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks whose sizes a tokenizer counts."""
+    return chunked(table(spark, sf_dir, "documents", ["doc_id", "text"]), 2000, 300, tokenizer=_byte_vocabulary(spark))
+
+
 @query("chunk_counts", f"SELECT doc_id, CAST({_tokens('text')} <= 1024 AS BOOLEAN) AS fits FROM documents")
 def chunk_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whether a text is its only chunk."""
@@ -205,28 +247,34 @@ def line_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents", ["doc_id", "text"]).select("doc_id", F.posexplode(T.line_buckets(F.col("text"), 20)).alias("section", "text"))
 
 
-_BARE = "text"
-for _tag in T.BOILERPLATE:
-    _BARE = rf"regexp_replace({_BARE}, '(?is)<{_tag}\b[^>]*>.*?</{_tag}\s*>', '<x>', 'g')"
-_HTML = _unescape(_sub(_BARE, (r"(?s)<!--.*?-->", "<x>"), (r"(?s)<!doctype[^>]*>|<\?[^>]*\?>", "<x>"), (r"(?s)(?:<[^>]+>)+", r"\x01"), (r"^\x01+|\x01+$", ""), (r"\x01", "' || chr(10) || '")).replace(r"'\x01', 'g'", "chr(1), 'g'"))
-_PAGE = "SELECT fragment_id, '<html><head><title>P ' || fragment_id || '</title><script>x < y</script></head><body><nav>menu</nav><p>' || text || '</p>' || chr(10) || chr(10) || '<!-- c --><div>end &amp; <b>out</b></div></body></html>' AS text FROM fragments WHERE text IS NOT NULL"
+# Pages whose text is known, for it went in escaped: around it everything that a parser has to see through.
+_ESCAPED = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"))
+_HEAD = "<!DOCTYPE html><html><head><title>P ", "</title><script>if (a<b) x('</p>')</script><style>p > q {}</style></head><body><header>h<header>inner</header> tail</header><nav>menu <b>m</b></nav><div title=\"x>y\"><p class='a>b'>"
+_TAIL = "</p>\n\n<!-- c <p> --><div>end &amp; <b>out</b></div><div><aside>left open</div><NOSCRIPT>n</NOSCRIPT></div><footer>f</footer></body></html>"
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    head = F.concat(F.lit("<html><head><title>P "), F.col("fragment_id"), F.lit("</title><script>x < y</script></head><body><nav>menu</nav><p>"))
-    tail = F.lit("</p>\n\n<!-- c --><div>end &amp; <b>out</b></div></body></html>")
-    return _fragments(spark, sf_dir).where("text IS NOT NULL").select("fragment_id", F.concat(head, F.col("text"), tail).alias("text"))
+    escaped = F.col("text")
+    for sign, reference in _ESCAPED:
+        escaped = F.replace(escaped, F.lit(sign), F.lit(reference))
+    page = F.concat(F.lit(_HEAD[0]), F.col("fragment_id"), F.lit(_HEAD[1]), escaped, F.lit(_TAIL))
+    return _fragments(spark, sf_dir).where("text IS NOT NULL").select("fragment_id", page.alias("text"))
+
 
+# What a reader of such a page sees: its title, the text, and the end.
+_SEEN = "'P ' || fragment_id || chr(10) || CASE WHEN text = '' THEN '' ELSE text || chr(10) END || chr(10) || chr(10) || chr(10) || 'end & ' || chr(10) || 'out'"
+_SEEN_PARTS = "SELECT fragment_id, " + _PARTS.replace("{x}", rf"string_split(regexp_replace({_SEEN}, '\n{{3,}}', chr(10) || chr(10), 'g'), chr(10) || chr(10))") + " AS t FROM fragments WHERE text IS NOT NULL"
 
-@query("html_extract", f"WITH p AS ({_PAGE}) SELECT fragment_id, CAST(i AS INTEGER) AS section, t[i + 1] AS text FROM (SELECT fragment_id, t, unnest(range(len(t))) AS i FROM (SELECT fragment_id, " + _PARTS.replace("{x}", rf"string_split(regexp_replace({_HTML}, '\n{{3,}}', chr(10) || chr(10), 'g'), chr(10) || chr(10))") + " AS t FROM p))")
+
+@query("html_extract", f"SELECT fragment_id, CAST(i AS INTEGER) AS section, t[i + 1] AS text FROM (SELECT fragment_id, t, unnest(range(len(t))) AS i FROM ({_SEEN_PARTS}))")
 def html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paragraphs of pages built around each fragment's text."""
-    return _pages(spark, sf_dir).select("fragment_id", F.posexplode(T.html_paragraphs(F.col("text"))).alias("section", "text"))
+    return _pages(spark, sf_dir).select("fragment_id", F.posexplode(H.html_paragraphs(F.col("text"))).alias("section", "text"))
 
 
 @query("html_title", "SELECT fragment_id, 'P ' || fragment_id AS title FROM fragments WHERE text IS NOT NULL")
 def html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pages(spark, sf_dir).select("fragment_id", T.html_title(F.col("text")).alias("title"))
+    return _pages(spark, sf_dir).select("fragment_id", H.html_title(F.col("text")).alias("title"))
 
 
 @query("json_flatten", "SELECT event_id, (SELECT string_agg(k || ': ' || json_extract_string(props, '$.' || k), chr(10)) FROM (SELECT unnest(json_keys(props)) AS k)) AS text FROM events")
@@ -277,7 +325,7 @@ def answer_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("success_filter", f"SELECT record_id FROM ({_ANSWERS}) WHERE error_class IS NULL AND output IS NOT NULL")
 def success_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return answer_parse(spark, sf_dir).where("error_class IS NULL AND output IS NOT NULL").select("record_id")
+    return R.successful(answer_parse(spark, sf_dir)).select("record_id")
 
 
 @query("sharegpt_records", """
@@ -313,9 +361,7 @@ def resume_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("file_counts", "SELECT count(*) AS discovered, count(c.file_path) AS done, count(*) - count(c.file_path) AS pending FROM source_files LEFT JOIN (SELECT file_path FROM checkpoints WHERE status = 'complete') c USING (file_path)")
 def file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = C.completed(table(spark, sf_dir, "checkpoints")).withColumn("d", F.lit(1)).withColumnRenamed("file_path", "path")
-    all_ = _files(spark, sf_dir).join(done, "path", "left")
-    return all_.agg(F.count("*").alias("discovered"), F.count("d").alias("done"), (F.count("*") - F.count("d")).alias("pending"))
+    return counts(_files(spark, sf_dir), C.completed(table(spark, sf_dir, "checkpoints")))
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -361,8 +407,8 @@ def per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("ordered_concat", "SELECT l_orderkey, string_agg(l_returnflag, '' ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag) AS flags FROM lineitem GROUP BY l_orderkey")
 def ordered_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")))
-    return table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"]).groupBy("l_orderkey").agg(F.array_join(F.transform(rows, lambda r: r["l_returnflag"]), "").alias("flags"))
+    flags = render.ordered_text(["l_linenumber", "l_partkey", "l_suppkey"], "l_returnflag", "")
+    return table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"]).groupBy("l_orderkey").agg(flags.alias("flags"))
 
 
 @query("discover_sort", "SELECT file_path AS path, row_number() OVER (ORDER BY file_path) - 1 AS n FROM source_files")
@@ -385,7 +431,7 @@ def size_ceiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("sparse_pages", f"SELECT fragment_id, length({_strip('text')}) < 20 AS sparse FROM fragments WHERE text IS NOT NULL AND lower(metadata.source_path) LIKE '%.pdf'")
 def sparse_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = table(spark, sf_dir, "fragments", ["fragment_id", "text", "metadata"]).where("text IS NOT NULL AND lower(metadata.source_path) LIKE '%.pdf'")
-    return f.select("fragment_id", (F.length(T.strip(F.col("text"))) < 20).alias("sparse"))
+    return f.select("fragment_id", sparse(F.col("text")).alias("sparse"))
 
 
 @query("shard_assign", "SELECT record_id, CAST((row_number() OVER (ORDER BY record_id) - 1) // 700 AS INTEGER) AS shard FROM alpaca_records")
@@ -403,14 +449,7 @@ def union_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def files_without_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A set difference."""
     read = table(spark, sf_dir, "fragments", ["metadata"]).select(F.col("metadata.source_path").alias("file_path"))
-    return table(spark, sf_dir, "source_files", ["file_path"]).join(read, "file_path", "left_anti").distinct()
-
-
-@query("row_ordinals", "SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS INTEGER) AS n FROM lineitem")
-def row_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey")))
-    g = table(spark, sf_dir, "lineitem", ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]).groupBy("l_orderkey").agg(rows.alias("r"))
-    return g.select("l_orderkey", F.posexplode("r").alias("n", "x")).select("l_orderkey", "x.l_linenumber", "n")
+    return pending(_files(spark, sf_dir), read).select(F.col("path").alias("file_path"))
 
 
 @query("settings_latest", "SELECT key, value FROM run_metadata")
@@ -418,4 +457,28 @@ def settings_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last value of each key of a log that holds an older one too."""
     kv = table(spark, sf_dir, "run_metadata")
     log = kv.withColumn("seq", F.lit(2)).unionByName(kv.select("key", F.lit("old").alias("value"), F.lit(1).alias("seq")))
-    return log.groupBy("key").agg(F.max_by(F.struct("value"), "seq").alias("v")).select("key", "v.value")
+    return C.last_values(log)
+
+
+@query("checkpoint_compacted", SQL["checkpoint_upsert"])
+def checkpoint_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert view of a log compacted twice, with a run in between."""
+    log = _log(spark, sf_dir)
+    once = C.compacted(log.where("seq = 1"))
+    return C.latest(C.compacted(once.unionByName(C.carried(log.where("seq = 2")).select(once.columns))), sticky=True)
+
+
+@query("checkpoint_compacted_latest", SQL["checkpoint_latest"])
+def checkpoint_compacted_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.latest(C.compacted(C.compacted(_log(spark, sf_dir))))
+
+
+@query("json_flatten_nested", """
+SELECT event_id, 'id: ' || event_id || chr(10) || 'n.type: ' || event_type || chr(10) || 'n.list: [' || user_id || ', "é", [1]]' || chr(10) || 'n.deep.t: True' || chr(10) || 'n.deep.o: None' || chr(10) || chr(10) || 'last: 1.0' AS text FROM events""")
+def json_flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = F.format_string('{"id":%d,"n":{"type":"%s","list":[%d,"é",[1]],"deep":{"t":true,"o":null},"none":{}},"last":1.0}', "event_id", "event_type", "user_id")
+    return table(spark, sf_dir, "events", ["event_id", "event_type", "user_id"]).select("event_id", render.flatten_json(raw).alias("text"))
+
+
+_text_query("norm_control_exact", T.strip_control_chars_exact, _sub("text", _CONTROL))
+_text_query("custom_transforms", lambda c: T.normalize(c, (T.strip_urls, T.as_transform(lambda t: t.replace("e", "E"), python=True), T.strip)), _strip(f"replace({_sub('text', _URL)}, 'e', 'E')"))

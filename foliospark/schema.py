@@ -36,6 +36,9 @@ CHECKPOINT = StructType(
         StructField("finished_at", StringType()),
         StructField("error_msg", StringType()),
         StructField("seq", LongType()),
+        # The last completion and the last failure up to this row.
+        StructField("completion", StructType([StructField("seq", LongType()), StructField("num_chunks", IntegerType()), StructField("num_records", IntegerType())])),
+        StructField("failure", StructType([StructField("seq", LongType()), StructField("error_msg", StringType())])),
     ]
 )
 KEY_VALUE = StructType([StructField("key", StringType()), StructField("value", StringType()), StructField("seq", LongType())])

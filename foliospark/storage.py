@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,9 +20,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a fresh local one only where that is unset (tests, one machine)."""
+    """The folder named by ``spark.checkpoint.dir``; a fresh local one only where that is unset and all runs on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         local = tempfile.mkdtemp(prefix="foliospark-")
         atexit.register(shutil.rmtree, local, ignore_errors=True)
         named = "file://" + local
@@ -41,14 +45,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    for kept in _KEPT:
+        kept.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_KEPT: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is ``written`` within goes at the end: for work whose results are complete by then."""
+    mine: list[str] = []
+    _KEPT.append(mine)
+    try:
+        yield
+    finally:
+        _KEPT.remove(mine)
+        for path in mine:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def clean(spark: SparkSession) -> None:
     """Delete what ``written`` left in this application; call it when no result is to be read any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _own_dir(spark))
 
 
 def once(c: Column) -> Column:

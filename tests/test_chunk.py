@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from foliospark.functions import tokens as K
 from foliospark.operators.chunk import chunked
 
 
@@ -62,3 +63,38 @@ def test_nulls_columns_and_bad_budget(spark):
     with pytest.raises(ValueError):
         chunked(df, 0, 1)
     assert chunked(df.limit(0), 5, 1).count() == 0
+
+
+def test_exact_sizes_like_a_plain_loop(spark, tmp_path):
+    """Sizes from a vocabulary; words of long sentences by their own sizes."""
+    path = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+    size = K.sizer(path)
+
+    def exact_model(text, budget, overlap):
+        if size(text) <= budget:
+            return [text]
+        out, cur = [], []
+        for s in [x.strip() for x in re.split(r"(?<=[.!?])\s+(?=[A-Z])", text) if x.strip()]:
+            if size(s) > budget:
+                out += [" ".join(cur)] if cur else []
+                cur, part, n = [], [], 0
+                for w in s.split():
+                    if part and n + size(w) > budget:
+                        out.append(" ".join(part))
+                        part, n = [], 0
+                    part.append(w)
+                    n += size(w)
+                out.append(" ".join(part))
+                continue
+            if sum(map(size, cur)) + size(s) > budget:
+                out.append(" ".join(cur))
+                while cur and sum(map(size, cur)) > overlap:
+                    cur = cur[1:]
+            cur.append(s)
+        return out + ([" ".join(cur)] if cur else [])
+
+    df = spark.createDataFrame([*enumerate(texts()), (99, "unbreakable" * 40 + ". Word next.")], "id int, text string")
+    got = {}
+    for r in chunked(df, 30, 10, tokenizer=path).orderBy("id", "chunk_index").collect():
+        got.setdefault(r["id"], []).append(r["text"])
+    assert got == {r["id"]: m for r in df.collect() if (m := exact_model(r["text"], 30, 10))}

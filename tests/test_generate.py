@@ -1,7 +1,9 @@
 """Model calls over a fake transport, answers, records, sinks."""
 
+import http.client
 import json
-import urllib.error
+import threading
+from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from foliospark.config import Settings
 from foliospark.errors import LLMConnection, LLMMalformedResponse, LLMRateLimit, LLMTimeout
 from foliospark.operators import records as R
-from foliospark.operators.generate import ChatAdapter, OllamaAdapter, adapter_of, answered, answers, with_retries
+from foliospark.operators.generate import ChatAdapter, Http, OllamaAdapter, adapter_of, answers, spread, with_retries
 from foliospark.sinks.writers import output_folder, split_valid, write_jsonl, write_parquet
 
 FAST = Settings(llm_retry_backoff_base=0.0)
@@ -50,7 +52,7 @@ def test_chat():
 
 @pytest.mark.parametrize(
     ("got", "error"),
-    [(TimeoutError(), LLMTimeout), (urllib.error.URLError(TimeoutError()), LLMTimeout), (urllib.error.URLError("no"), LLMConnection), (ConnectionResetError(), LLMConnection), ((429, b""), LLMRateLimit), ((500, b"x"), LLMConnection), ((200, b"no json"), LLMMalformedResponse)],
+    [(TimeoutError(), LLMTimeout), (http.client.RemoteDisconnected(), LLMConnection), (OSError("no"), LLMConnection), (ConnectionResetError(), LLMConnection), ((429, b""), LLMRateLimit), ((500, b"x"), LLMConnection), ((200, b"no json"), LLMMalformedResponse)],
 )
 def test_errors(got, error):
     with pytest.raises(error):
@@ -103,8 +105,8 @@ def test_map(spark):
     got = {r["id"]: (r["raw"], r["attempts"], r["error_class"]) for r in answers(df, Echo(), FAST).collect()}
     assert got == {0: ("A", 1, None), 1: (None, 3, "LLMTimeout"), 2: (None, 1, "LLMConnection"), 3: (None, 0, None), 4: ("B", 1, None)}
     assert answers(df.limit(0), Echo(), FAST).count() == 0
-    kept = answered(df, Echo(), FAST, partitions=2)
-    assert kept.count() == 5 and "MapInArrow" not in kept._jdf.queryExecution().toString()
+    few = FAST.with_(max_concurrent_llm_calls=2)
+    assert spread(df, few).rdd.getNumPartitions() == 2 and answers(spread(df, few), Echo(), few).count() == 5
     assert adapter_of(Settings(llm_backend="openai")).model == Settings().model_name
     with pytest.raises(ValueError):
         adapter_of(Settings(llm_backend="none"))
@@ -127,8 +129,45 @@ def test_answers(spark):
     df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(ANSWERS)], "id int, raw string")
     got = df.select("id", R.parse_answers(F.col("raw")).alias("a")).orderBy("id").select("a.instruction", "a.input", "a.output", "a.error_class").collect()
     assert [tuple(r) for r in got] == [w for _, w in ANSWERS]
-    native = df.where("id < 5").select("id", R.parse_answers_native(F.col("raw")).alias("a")).orderBy("id").select("a.*").collect()
-    assert [tuple(r) for r in native] == [w[:3] for _, w in ANSWERS[:5]]
+
+
+class Server(BaseHTTPRequestHandler):
+    """Answers with the number of connections and requests it has seen; every third answer closes the connection."""
+
+    protocol_version = "HTTP/1.1"
+    links, asked, drop = set(), 0, False
+
+    def do_POST(self):
+        type(self).asked += 1
+        self.rfile.read(int(self.headers["Content-Length"]))
+        Server.links.add(self.client_address)
+        body = json.dumps({"response": f"{len(Server.links)} {Server.asked}"}).encode()
+        self.send_response(200)
+        self.send_header("Content-Length", str(len(body)))
+        if Server.drop:
+            self.send_header("Connection", "close")
+            self.close_connection = True
+        self.end_headers()
+        self.wfile.write(body)
+
+    def log_message(self, *args):
+        pass
+
+
+def test_connections_are_kept_and_opened_anew():
+    server = HTTPServer(("127.0.0.1", 0), Server)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        a = OllamaAdapter(f"http://127.0.0.1:{server.server_port}", "m", 5.0, Http())
+        assert [a.generate("p") for _ in range(3)] == ["1 1", "1 2", "1 3"]
+        Server.drop = True
+        assert [a.generate("p") for _ in range(2)] == ["1 4", "2 5"]
+        a.close()
+    finally:
+        server.shutdown()
+        server.server_close()
+    with pytest.raises(LLMConnection):
+        a.generate("p")
 
 
 def test_sinks(spark, tmp_path):

@@ -1,49 +1,32 @@
-"""Text functions against plain Python over adversarial and random strings."""
+"""Text functions: what texts become. Over whole tables they are held against SQL in ``test_queries``."""
 
-import html
-import re
-import unicodedata
+import base64
 
 import pytest
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from foliospark.functions import html as H
 from foliospark.functions import render
 from foliospark.functions import text as T
 from foliospark.functions import tokens as K
 
-HARD = [
-    "&lt;b&gt;x&lt;/b&gt; &copy 2024 &notit; &#x80; &#150;", "a < b and c > d", "[l](http://x.y/(z)) and https://a.b/c?d=1. end", "a b　 \t c\n\n\n\nd ",
-    "​z­w﻿\x0b\x0c\x85\x1c\r\n", "homepage 12 of 300 Page 3\n 17 \n\nx", "Page ١٢\n٣\n", " private ͸ unassigned", "  lead and trail  ",
-    "# C# x\n![i](u) **b** _e_ snake_case_name `code`\n> q\n- a\n* b\n1. c\n---\n", "\n\n\n", "", "<b>only</b>", "---\n----\n--", "***a _b_ c***", "a\r\n---\r\nb",
-    "One. Two! Three? É no. Yes", "A.B. c. D", "x" * 5000 + ". Y",
-]
-
-
-def strip_control(t):
-    return "".join(c for c in t if c in "\n\t" or unicodedata.category(c)[0] != "C")
-
-
-def pdf(t):
-    return re.sub(r"^\s*\d{1,4}\s*$", "", re.sub(r"page\s+\d+\s*(of\s+\d+)?", "", t, flags=re.I), flags=re.M)
-
-
-def collapse(t):
-    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[^\S\n]+", " ", t)).strip()
-
-
-MODELS = {
-    "strip_html_entities": html.unescape,
-    "strip_html_tags": lambda t: re.sub(r"<[^>]+>", " ", t),
-    "strip_markdown_links": lambda t: re.sub(r"\[([^\]]+)\]\([^\)]+\)", r"\1", t),
-    "strip_urls": lambda t: re.sub(r"https?://\S+", "", t),
-    "strip_control_chars_exact": strip_control,
-    "strip_pdf_artefacts": pdf,
-    "collapse_whitespace": collapse,
-    "strip_markdown": T.python_strip_markdown,
-    "strip": str.strip,
-}
+#: Per transform: texts and what they become.
+PAIRS = {
+    "strip_html_entities": [("&lt;b&gt;x&lt;/b&gt; &copy 2024 &notit; &#x80; &#150;", "<b>x</b> © 2024 ¬it; € –"), ("&amp;lt;", "&lt;"), ("R&D & co", "R&D & co"), ("&#99999999;", "\ufffd"), ("", "")],
+    "strip_html_tags": [("a < b and c > d", "a   d"), ("<b>x</b>", " x "), ("<a\nhref='x'>y", " y"), ("<>", "<>"), ("a<b", "a<b"), ("<" * 3_000 + ">", " "), ("<i>" * 3_000, " " * 3_000)],
+    "strip_markdown_links": [("[l](http://x.y/(z)) end", "l) end"), ("![i](u)", "!i"), ("[a][b](c)", "[a]b"), ("[](x)", "[](x)"), ("[x]()", "[x]()")],
+    "strip_urls": [("see https://a.b/c?d=1. end", "see  end"), ("http://x", ""), ("HTTP://X", "HTTP://X"), ("http://a\u3000b", "\u3000b"), ("http://a\x1cb", "\x1cb")],
+    "strip_control_chars": [("a\u200bb\ufeffc\x0b\x85\td\n", "abc\td\n"), ("x\r\n", "x\n"), ("soft\xadhyphen", "softhyphen"), ("\ue000", "")],
+    "strip_control_chars_exact": [("a\u200bb\ufeffc\x0b\x85\td\n", "abc\td\n"), ("\U0001fae0 stays", "\U0001fae0 stays"), ("\u0378 unassigned", " unassigned"), ("plain", "plain")],
+    "strip_pdf_artefacts": [("homepage 12 of 300 Page 3 x", "home x"), ("a\n 17 \n\nb", "ab"), ("Page \u0661\u0662\n\u0663\n", ""), ("12345", "12345"), ("PAGE\u00a07", ""), ("pages", "pages")],
+    "collapse_whitespace": [("a\u00a0b\u3000 \t c\n\n\n\nd ", "a b c\n\nd"), ("\n\n\n", ""), ("\x1c x \r\n y", "x \n y"), ("a b", "a b"), ("\u2003", "")],
+    "strip": [("  lead and trail\u00a0\x1f", "lead and trail"), ("\n\t", ""), ("x", "x")],
+    "strip_markdown": [
+        ("# C# x\n![i](u) **b** _e_ snake_case_name `code`", "Cx\ni b e snakecasename "), ("> q\n- a\n* b\n1. c\n---\n", "q\na\nb\nc\n\n"), ("---\n----\n--", "\n\n--"), ("***a _b_ c***", "a b c"), ("```\nx\n```y", "y"), ("a\r\n---\r\nb", "a\r\n---\r\nb"),
+    ],
+    "sentences": [("One. Two! Three? \u00c9 no. Yes", ["One.", "Two!", "Three? \u00c9 no.", "Yes"]), ("A.B. c. D", ["A.B. c.", "D"]), (" \n ", []), ("x.\u00a0\n Y ", ["x.", "Y"]), ("no end", ["no end"])],
+    "paragraphs": [("a\n\n\n b \n\n\u3000\n\nc\nd", ["a", "b", "c\nd"]), ("", [])],
+}
 
 
 def apply(spark, f, texts):
@@ -51,40 +34,32 @@ def apply(spark, f, texts):
     return [r[1] for r in sorted(df.select("i", f(F.col("t"))).collect())]
 
 
-@pytest.mark.parametrize("name", sorted(MODELS))
-def test_hard_strings(spark, name):
-    assert apply(spark, getattr(T, name), HARD) == [MODELS[name](t) for t in HARD]
+@pytest.mark.parametrize("name", sorted(PAIRS))
+def test_transforms(spark, name):
+    assert apply(spark, getattr(T, name), [t for t, _ in PAIRS[name]] + [None]) == [w for _, w in PAIRS[name]] + [None]
 
 
-# Letters, marks, spaces and controls that the JVM and Python class alike.
-SIGNS = st.lists(st.sampled_from(list("ab ÉßЖ.!?\n\t\r 　\x1c<>[]()#*_`-+>12٣&;;/:") + ["http://", "page ", "Page", "of "]), max_size=60).map("".join)
+def test_chain_and_custom_ones(spark):
+    page = "&lt;b&gt;Head&lt;/b&gt;  see [the list](u) at http://x.y\u200b now\n\n\n\nPage 3 of 9\n 17 \nEnd\u00a0."
+    assert apply(spark, T.normalize, [page, "<p> </p>"]) == ["Head see the list at now\n\nEnd .", ""]
+    assert apply(spark, lambda c: T.normalize(c, ()), [page]) == [page]
+    assert apply(spark, lambda c: T.normalize(c, (T.strip, T.as_transform(str.upper, python=True))), [" a ", None]) == ["A", None]
+    assert apply(spark, T.is_empty, [None, "", " \n \x1c", "a"]) == [True, True, True, False]
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(texts=st.lists(SIGNS, min_size=20, max_size=40))
-def test_random_strings(spark, texts):
-    for name, model in MODELS.items():
-        assert apply(spark, getattr(T, name), texts) == [model(t) for t in texts], name
+def test_normalising_twice_changes_nothing_more(spark):
+    texts = [t for pairs in PAIRS.values() for t, _ in pairs if "&" not in t]
+    once = apply(spark, T.normalize, texts)
+    assert apply(spark, T.collapse_whitespace, once) == once
 
 
-def test_default_chain_and_custom_ones(spark):
-    chain = lambda t: collapse(pdf(strip_control(re.sub(r"https?://\S+", "", re.sub(r"\[([^\]]+)\]\([^\)]+\)", r"\1", re.sub(r"<[^>]+>", " ", html.unescape(t)))))))
-    known = [t for t in HARD if "͸" not in t]
-    assert apply(spark, T.normalize, known) == [chain(t) for t in known]
-    assert apply(spark, lambda c: T.normalize(c, ()), HARD) == HARD
-    assert apply(spark, lambda c: T.normalize(c, (T.strip, T.as_transform(str.upper, python=True))), [" a "]) == ["A"]
-
-
-def test_nulls_stay_null(spark):
-    for name in MODELS:
-        assert apply(spark, getattr(T, name), [None, "a"]) == [None, MODELS[name]("a")]
-    assert apply(spark, T.is_empty, [None, "", " \n \x1c", "a"]) == [True, True, True, False]
-
-
-def test_sentences_and_tokens(spark):
-    model = lambda t: [s.strip() for s in re.split(r"(?<=[.!?])\s+(?=[A-Z])", t) if s.strip()]
-    assert apply(spark, T.sentences, HARD) == [model(t) for t in HARD]
-    assert apply(spark, K.estimated, HARD) == [int(len(t.split()) * 1.3) for t in HARD]
+def test_tokens(spark, tmp_path):
+    assert apply(spark, K.estimated, ["", " \n", "one", "two words", "a\u00a0b\x1cc d", "x " * 10, None]) == [0, 0, 1, 2, 5, 13, None]
+    (tmp_path / "v.tiktoken").write_text("".join(f"{base64.b64encode(t).decode()} {i}\n" for i, t in enumerate([bytes([b]) for b in range(256)] + [b"ab", b" ab"])))
+    path = K.tokenizer_path("v", str(tmp_path))
+    assert apply(spark, lambda c: K.exact(c, path), ["ab ab", "abc", "\u00e9", "", None]) == [2, 2, 2, 0, None]
+    with pytest.raises(FileNotFoundError):
+        K.tokenizer_path("w", str(tmp_path))
 
 
 def test_line_buckets(spark):
@@ -96,8 +71,25 @@ def test_line_buckets(spark):
 
 def test_html(spark):
     page = "<!DOCTYPE html><html><head><title>T &amp; U</title><style>p{}</style></head><body><NAV>n</NAV><p>One &lt;x&gt;</p>\n\n<div><b>Two</b> more</div><!-- no --><script>if (a<b) {}</script><footer>f</footer></body></html>"
-    assert apply(spark, T.html_paragraphs, [page]) == [["T & U\nOne <x>", "Two\n more"]]
-    assert apply(spark, T.html_title, [page, "<p>x</p>"]) == ["T & U", None]
+    assert apply(spark, H.html_paragraphs, [page, "", None]) == [["T & U\nOne <x>", "Two\n more"], [], None]
+    assert apply(spark, H.html_title, [page, "<p>x</p>", "<title> </title>", None]) == ["T & U", None, None, None]
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("a\x01b<p>c", "a\x01b\nc"), ("<p>x</p><nav>menu<p>y", "x"), ("<div><nav>menu</div>text", "text"), ("<header>a<header>b</header>c</header>d", "d"), ('<p title="x>y">z</p>', "z"), ("<b title = 'a>b' c>q</b>", "q"),
+        ("a < b and <3 c", "a < b and <3 c"), ("<nav/>x", "x"), ("<!-- c -->x<!-- y", "x"), ("<script>if(a<b)</script>z<style>", "z"), ("</", "</"), ("x</p", "x"), ('<a href="x', ""), ("<table><tr><td><nav>m</td><td>k</table>z", "k\nz"),
+        ("<b><nav>x</b>y</nav>z", "z"), ("<SCRIPT >x</script >y", "y"), ("<textarea><p></textarea>z", "<p>\nz"), ("<p a=b/c>z", "z"), ("</nav>x", "x"), ("<section><aside>a</span></section>b", "b"), ("&lt;b&gt;<i>&eacute;", "<b>\n\u00e9"),
+    ],
+)
+def test_html_as_a_parser_reads_it(source, text):
+    assert H.page(source)[0] == text
+
+
+def test_html_of_any_number_of_tags(spark):
+    many = ["<b>" * 200_000 + "x" + "</b>" * 200_000, "<div>" * 100_000 + "x" + "</p>" * 100_000, "<a " * 100_000, '<a b="' * 50_000, "<!--" * 100_000, "<nav>" * 50_000 + "y" + "</div>" * 50_000, "<" * 200_000]
+    assert apply(spark, H.html_paragraphs, many) == [["x"], ["x"], [], [], [], [], ["<" * 200_000]]
 
 
 def test_json_and_rows(spark):
