@@ -18,7 +18,7 @@ PAIRS = {
     "strip_urls": [("see https://a.b/c?d=1. end", "see  end"), ("http://x", ""), ("HTTP://X", "HTTP://X"), ("http://a\u3000b", "\u3000b"), ("http://a\x1cb", "\x1cb")],
     "strip_control_chars": [("a\u200bb\ufeffc\x0b\x85\td\n", "abc\td\n"), ("x\r\n", "x\n"), ("soft\xadhyphen", "softhyphen"), ("\ue000", "")],
     "strip_control_chars_exact": [("a\u200bb\ufeffc\x0b\x85\td\n", "abc\td\n"), ("\U0001fae0 stays", "\U0001fae0 stays"), ("\u0378 unassigned", " unassigned"), ("plain", "plain")],
-    "strip_pdf_artefacts": [("homepage 12 of 300 Page 3 x", "home x"), ("a\n 17 \n\nb", "ab"), ("Page \u0661\u0662\n\u0663\n", ""), ("12345", "12345"), ("PAGE\u00a07", ""), ("pages", "pages")],
+    "strip_pdf_artefacts": [("homepage 12 of 300 Page 3 x", "home x"), ("a\n 17 \n\nb", "a\n\nb"), ("Page \u0661\u0662\n\u0663\n", ""), ("12345", "12345"), ("PAGE\u00a07", ""), ("pages", "pages")],
     "collapse_whitespace": [("a\u00a0b\u3000 \t c\n\n\n\nd ", "a b c\n\nd"), ("\n\n\n", ""), ("\x1c x \r\n y", "x \n y"), ("a b", "a b"), ("\u2003", "")],
     "strip": [("  lead and trail\u00a0\x1f", "lead and trail"), ("\n\t", ""), ("x", "x")],
     "strip_markdown": [
