@@ -1,17 +1,29 @@
 """Problem 6: the noise of scanned pages.
 
 A page is taken apart into lines; page numbers and running headers go; the rest
-is one stream of tokens in which line ends are only marks. A Viterbi pass over
-the stream decides which tokens are words as they stand, which were misread
-(confusions of look-alike signs), which belong together (split words, spaced
-letters, words hyphenated over a line end) and which were run together. Words
-cost by their frequency in the corpus, every repair costs extra, so a rare
-sound word is not bent into a common one without reason. A second dynamic
-programme over the lines puts the paragraph boundaries.
+is one stream of characters from which line ends are taken out and stay only as
+marks, like the blanks. A lattice over the characters decides the words: its
+edges are the words of the corpus, spelled as they stand or through confusions
+of look-alike signs, across any number of blanks, line ends and hyphens, and
+ending with or without a blank after them. So splits, merges, confusions and
+hyphens are weighed together, and there is no limit on how many of them a word
+may have. Words cost by their frequency in the corpus, every repair costs
+extra, so a rare sound word is not bent into a common one without reason. A
+second dynamic programme over the lines puts the paragraph boundaries.
+
+Most of a page is sound. Words start at a position only where an edge other
+than the token as it stands can begin there: at tokens that are unknown or
+better read otherwise, at hyphens, at tokens that together make a word, and at
+tokens before those from which a word can lead up to them (its beginning is
+looked up).
+Of the edges those are left out whose least possible cost is no less than what
+the stream costs as it stands up to where they could end. Neither leaves out an
+edge of the best path.
 
 The word frequencies are counted over all fragments. Only words of at least
 ``total / MOST_WORDS`` occurrences are used, so there can be no more than
-``MOST_WORDS`` of them, and they are broadcast.
+``MOST_WORDS`` of them, and they are broadcast; with what rarer words cost they
+stand as they are.
 """
 
 from __future__ import annotations
@@ -20,7 +32,6 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -32,9 +43,12 @@ MOST_WORDS = 300_000
 LEAST_COUNT = 3
 #: Most pages with returning headers whose keys are broadcast; beyond, the join shuffles.
 BROADCAST_ROWS = 300_000
-#: Costs in nats: a confusion, a gap inside a word, words run together; a letter of an unknown word.
-CONFUSED, SPLIT, MERGED, LETTER = 5.0, 6.0, 9.0, 1.0
-MOST_LETTERS = 60
+#: Costs in nats: a confusion, a gap inside a word, one between single letters, words run together (the first in a token and each after).
+CONFUSED, SPLIT, SPACED, MERGED, MERGED_AGAIN = 5.0, 6.0, 2.0, 9.0, 3.0
+#: Of a part of run-together words that has one letter, or two.
+SHORT_PART = {1: 12.0, 2: 4.0}
+#: Of an unknown word: a letter, a sign that no word has; at least so much if it was hyphenated; of a hyphen that stays at its line's end.
+LETTER, ODD, HYPHENATED, HYPHEN_KEPT = 1.25, 5.0, 6.0, 4.0
 CACHED_WORDS = 200_000
 
 # What scanning makes of letters, as read -> as printed.
@@ -86,7 +100,7 @@ def header_candidates(text: str | None) -> list[str]:
     for i, line in enumerate(lines):
         if n < 3:
             break
-        if len(line) > 70 or not line[0].isalnum() or len(line.split()) > 9 or _ENDED.search(line) or line[-1] in _HYPHEN + "," or _NUMBERED.match(line):
+        if not line[0].isalnum() or _ENDED.search(line) or line[-1] in _HYPHEN + "," or _NUMBERED.match(line):
             continue
         words = _WORD.findall(line)
         if len(words) < 2 or not words[0][0].isupper():
@@ -166,7 +180,7 @@ def inner_page_numbers(lines: list[str], page: str | None, repeated: frozenset[s
 
 def is_page_number(line: str, edge: bool) -> bool:
     s = line.strip()
-    if len(s) > 24 or not s:
+    if not s:
         return False
     if _PAGE_LABELLED.match(s) or _PAGE_SET.match(s) or _PAGE_CODE.match(s):
         return True
@@ -175,76 +189,158 @@ def is_page_number(line: str, edge: bool) -> bool:
 
 def is_header(line: str, repeated: frozenset[str]) -> bool:
     s = line.strip()
-    if not s or len(s) > 90 or _NUMBERED.match(s):
+    if not s or _NUMBERED.match(s):
         return False
     return bool(_HEADER.match(s)) or bool(repeated) and header_key(s) in repeated
 
 
+_BY_SIGN: dict[str, list[tuple[str, str]]] = {}
+for _read, _printed in CONFUSIONS:
+    _BY_SIGN.setdefault(_read[0], []).append((_read, _printed))
+
+Edge = tuple[int, str, tuple[str, ...]]  # (where it begins, what is printed, the repairs)
+
+
 class Decoder:
-    """Word costs and the Viterbi pass. ``counts`` has lower-case words; ``total`` all occurrences."""
+    """Word costs and the lattice. ``counts`` has lower-case words; ``total`` all occurrences."""
 
     def __init__(self, counts: dict[str, int], total: int) -> None:
         self.logs = math.log(max(total, 2))
         self.cost = {w: self.logs - math.log(n) for w, n in counts.items()}
+        # Of each beginning of a word the least cost of a word that begins so, and the most letters it can still have.
+        self.low: dict[str, float] = {}
+        self.more: dict[str, int] = {}
         self.least = min(self.cost.values(), default=0.0)
-        self.known: dict[str, tuple[float, str, int]] = {}
+        self.longest = max(map(len, self.cost), default=0)
+        for w, c in self.cost.items():
+            n = len(w)
+            for k in range(1, n + 1):
+                p = w[:k]
+                if c < self.low.get(p, math.inf):
+                    self.low[p] = c
+                if n - k > self.more.get(p, -1):
+                    self.more[p] = n - k
+        self.known: dict[str, tuple[float, str, tuple[str, ...], bool]] = {}
+        self.seen: dict[str, tuple] = {}
 
     def price(self, word: str) -> float:
-        """Of a word as it stands; letters of an unknown one cost."""
+        """Of a lower-case word as it stands; letters of an unknown one cost, signs that no word has cost more."""
         got = self.cost.get(word)
-        return got if got is not None else self.logs + LETTER * len(word)
+        return got if got is not None else self.logs + LETTER * len(word) + ODD * len(_ODD.findall(word))
 
-    def best(self, core: str) -> tuple[float, str, int]:
-        """(cost, word, repairs) of the cheapest reading of one token without its signs."""
+    def alone(self, core: str) -> tuple[float, str, tuple[str, ...], bool]:
+        """(cost, what is printed, repairs, whether it is a sound word) of the best path through one token without its signs."""
         got = self.known.get(core)
         if got is not None:
             return got
-        low = core.lower()
-        kept = self.price(low)
-        out = (kept, core, 0)
-        if not _CODE.match(core) and 1 < len(core) <= MOST_LETTERS and any(c.isalpha() for c in core):
-            clean = low.isalpha() or bool(_WORD.fullmatch(low))
-            if len(core) > 2 or not clean:
-                reading, steps = self._confused(low, kept)
-                if reading is not None:
-                    out = (self.cost[reading] + CONFUSED * steps, _cased(reading, core), steps)
-            if out[2] == 0 and clean and low not in self.cost and len(low) > 5:
-                a = min(range(3, len(low) - 2), key=lambda k: self.price(low[:k]) + self.price(low[k:]))
-                if low[:a] in self.cost and low[a:] in self.cost and (both := self.price(low[:a]) + self.price(low[a:]) + MERGED) < kept:
-                    out = (both, f"{core[:a]} {core[a:]}", 1)
+        low = _lower(core)
+        known = low in self.cost
+        if known and (len(core) < 3 or self.cost[low] <= CONFUSED + self.least):
+            out = (self.cost[low], core, (), True)
+        elif not _lettered(core) or len(core) < 2 or len(core) < 3 and _WORD.fullmatch(low):
+            out = (self.price(low), core, (), known or not _lettered(core))
+        else:
+            total, back = self._lattice(core, low, {}, [0, len(core)], [self.price(low)], {0})
+            words, kinds = _path(back, len(core))
+            out = (total, " ".join(w for w, _ in words), kinds, known and not kinds)
         if len(self.known) >= CACHED_WORDS:
             self.known.clear()
         self.known[core] = out
         return out
 
-    def _confused(self, low: str, kept: float) -> tuple[str | None, int]:
-        """The cheapest known word that up to three confusions turn into ``low``; signs that no word has are replaced first."""
-        found, best, steps = None, kept, 0
-        layer = {(low, 0)}
-        for depth in (1, 2, 3):
-            if self.least + CONFUSED * depth >= best:
-                break
-            nxt = set()
-            for w, start in layer:
-                odd = _ODD.search(w)
-                for read, printed in CONFUSIONS:
-                    if odd:
-                        at = odd.start() if w.startswith(read, odd.start()) else -1
-                        if at >= 0:
-                            nxt.add((w[:at] + printed + w[at + len(read) :], 0))
+    def _lattice(self, source: str, low: str, gaps: dict[int, str], ends: list[int], prices: list[float], active: set[int], printed: list[Edge] | None = None) -> tuple[float, list[Edge]]:
+        """Cost of the best path over ``low`` and its edges by where they end.
+
+        ``gaps`` has what stood at a position in the source: a blank, a line feed
+        or the hyphen of a line's end. ``ends`` are the tokens' bounds, ``prices``
+        what each costs by itself and ``printed`` how that is printed; words are
+        looked for at the ``active`` bounds and wherever a word has ended.
+        """
+        n = len(low)
+        total = [math.inf] * (n + 1)
+        total[0] = 0.0
+        back: list[Edge] = [(0, "", ())] * (n + 1)
+        # What the stream costs as it stands up to each bound; at other positions, up to the next.
+        stands, bound_at, sums = [0.0] * (n + 1), [0] * (n + 1), 0.0
+        for k, c in enumerate(prices):
+            sums += c + (HYPHEN_KEPT if gaps.get(ends[k + 1], " ") in _HYPHEN else 0.0)
+            for at in range(ends[k] + 1, ends[k + 1] + 1):
+                stands[at], bound_at[at] = sums, ends[k + 1]
+        token_at = {e: k for k, e in enumerate(ends)}
+        cost, least_of, more = self.cost, self.low, self.more
+        for i in range(n):
+            here = total[i]
+            if here == math.inf:
+                continue
+            k = token_at.get(i)
+            if k is not None:
+                stop = ends[k + 1]
+                hyphen = gaps.get(stop, "")
+                kept = hyphen != "" and hyphen in _HYPHEN
+                c = here + prices[k] + (HYPHEN_KEPT if kept else 0.0)
+                if c < total[stop]:
+                    _, text, kinds = printed[k] if printed else (i, source[i:stop], ())
+                    total[stop], back[stop] = c, (i, text + (hyphen if kept and hyphen in "-‐‑" else ""), kinds)
+                if kept and k + 2 < len(ends):
+                    # An unknown word may be hyphenated too.
+                    after = ends[k + 2]
+                    if (hyphen != "-" or source[stop].islower()) and gaps.get(after, " ") not in _HYPHEN:
+                        c = here + min(self.price(low[i:after]), self.logs + HYPHENATED)
+                        if c < total[after]:
+                            total[after], back[after] = c, (i, source[i:after], ("hyphen",))
+                if i not in active:
+                    continue
+            # Words that begin here: (position, letters so far, extra cost, repairs).
+            heap: list[tuple[int, str, float, tuple[str, ...]]] = [(i, "", here, ())]
+            while heap:
+                at, word, spent, kinds = heap.pop()
+                gap = gaps.get(at) if at > i else None
+                if word and (c := cost.get(word)) is not None:
+                    whole = spent + c
+                    extra = kinds
+                    if at < n and gap is None:
+                        # Run together with what follows; a second cut in the same token is likelier than the first.
+                        cut_before = i not in token_at
+                        whole += (MERGED_AGAIN if cut_before else MERGED) + SHORT_PART.get(at - i, 0.0)
+                        extra = (*kinds, "misread")
+                    elif gap is not None and gap in _HYPHEN:
+                        whole += HYPHEN_KEPT
+                    if i not in token_at and (at == n or gap is not None):
+                        whole += SHORT_PART.get(at - i, 0.0)
+                    if whole < total[at]:
+                        text = _cased(word, source[i:at]) if kinds else source[i:at]
+                        if gap is not None and gap in "-‐‑":
+                            text += gap
+                        total[at], back[at] = whole, (i, text, extra)
+                if at == n:
+                    continue
+                if gap is not None:
+                    if gap not in _HYPHEN:
+                        spent += SPACED if at - 1 in token_at and at + 1 in token_at else SPLIT
+                        kinds = kinds if "split" in kinds else (*kinds, "split")
+                    elif gap == "-" and not source[at].islower():
+                        continue
+                    else:
+                        kinds = (*kinds, "hyphen")
+                steps = [(low[at], low[at], 0.0, kinds)]
+                for read, to in _BY_SIGN.get(low[at], ()):
+                    if low.startswith(read, at):
+                        misread = kinds if "misread" in kinds else (*kinds, "misread")
+                        within = [gaps[x] for x in range(at + 1, at + len(read)) if x in gaps] if len(read) > 1 else ()
+                        # A gap within the signs that were misread is one within the word.
+                        steps.append((read, to, CONFUSED + SPLIT * sum(g not in _HYPHEN for g in within), (*misread, *("hyphen" if g in _HYPHEN else "split" for g in within))))
+                for read, to, more_cost, found in steps:
+                    longer = word + to
+                    least = least_of.get(longer)
+                    if least is None:
+                        continue
+                    reached = at + len(read)
+                    # As far as the word can reach, signs read as two letters counted: no use if it costs what stands there.
+                    far = min(n, reached + 2 * more[longer])
+                    if spent + more_cost + least >= stands[far] or spent + more_cost + least >= total[bound_at[far]]:
                         continue
-                    at = w.find(read, start)
-                    while at >= 0:
-                        nxt.add((w[:at] + printed + w[at + len(read) :], at + len(printed)))
-                        at = w.find(read, at + 1)
-            for w, _ in nxt:
-                c = self.cost.get(w)
-                if c is not None and c + CONFUSED * depth < best:
-                    found, best, steps = w, c + CONFUSED * depth, depth
-            if found or len(nxt) > 60:
-                break
-            layer = nxt
-        return found, steps
+                    heap.append((reached, longer, spent + more_cost, found))
+        return total[n], back
 
     def decode(self, tokens: list[str], glued: list[str]) -> tuple[list[tuple[str, int]], Counter]:
         """Best path over ``tokens``.
@@ -254,63 +350,115 @@ class Decoder:
         first token) of every word, and the repairs by kind.
         """
         n = len(tokens)
-        parts = [_parts(t) for t in tokens]
-        prices = [self.best(core) if core else (0.0, "", 0) for _, core, _ in parts]
-        total = [0.0] + [math.inf] * n
-        back: list[tuple[int, str, str]] = [(0, "", "")] * (n + 1)
+        seen = self.seen
+        parts = [seen.get(t) or self._seen(t) for t in tokens]
+        alone = [p[4] for p in parts]
+        # Whether the word may go on from a token into the next: both of letters, and no sign between.
+        joins = [p[5] and q[6] for p, q in zip(parts, parts[1:])] + [False]
+        active = self._active(parts, alone, joins, glued)
+        out: list[tuple[str, int]] = []
+        kinds: Counter = Counter()
+        a = 0
+        while a < n:
+            b = a + 1
+            while joins[b - 1]:
+                b += 1
+            if any(active[a:b]):
+                self._stretch(a, b, parts, alone, glued, active, out, kinds)
+            else:
+                for i in range(a, b):
+                    pre, _, post = parts[i][:3]
+                    out.append((pre + alone[i][1] + (glued[i] if glued[i] in "-‐‑" else "") + post, i))
+                    kinds.update(alone[i][2])
+            a = b
+        return out, kinds
+
+    def _seen(self, token: str) -> tuple:
+        """(signs before, core, signs after, the core in lower case, its best path alone, whether a word may go on after it, and lead into it)."""
+        pre, core, post = _parts(token)
+        lettered = bool(core) and _lettered(core)
+        got = (pre, core, post, _lower(core), self.alone(core) if core else (0.0, "", (), True), lettered and not post, lettered and not pre)
+        if len(self.seen) >= CACHED_WORDS:
+            self.seen.clear()
+        self.seen[token] = got
+        return got
+
+    def _active(self, parts: list, alone: list, joins: list[bool], glued: list[str]) -> list[bool]:
+        n = len(parts)
+        active = [False] * n
+        low = self.low
         for i in range(n):
-            here = total[i]
-            pre, core, post = parts[i]
-            c, reading, repaired = prices[i]
-            hyphen = glued[i] in _HYPHEN and i + 1 < n
-            # The token by itself; a hyphen at the line's end then belongs to it.
-            if here + c + (4.0 if hyphen else 0.0) < total[i + 1]:
-                total[i + 1], back[i + 1] = here + c + (4.0 if hyphen else 0.0), (i, pre + reading + (glued[i] if hyphen and glued[i] in "-‐‑" else "") + post, "misread" if repaired else "")
-            if i + 1 >= n or not core or post and not hyphen:
-                continue
-            nxt = parts[i + 1]
-            if not nxt[1] or nxt[0] or not _lettered(core) or not _lettered(nxt[1]):
-                continue
-            if hyphen:
-                self._join(i, 2, core + nxt[1], pre, nxt[2], "hyphen", total, back, 0.0, glued[i] != "-" or nxt[1][0].islower())
-                if not nxt[2] and i + 2 < n and not parts[i + 2][0] and glued[i + 1] == " " and (core + nxt[1]).lower() not in self.cost and (core + nxt[1] + parts[i + 2][1]).lower() in self.cost:
-                    self._join(i, 3, core + nxt[1] + parts[i + 2][1], pre, parts[i + 2][2], "hyphen", total, back, SPLIT, c > 8)
-                continue
-            if len(core) == 1 and core.isalpha() and len(nxt[1]) == 1:
-                j, text = i, ""
-                while j < n and len(parts[j][1]) == 1 and (j == i or not parts[j][0]):
-                    text += parts[j][1]
-                    j += 1
-                    if parts[j - 1][2]:
+            if not joins[i]:
+                if not (i and joins[i - 1]) or alone[i][3]:
+                    continue
+            elif not alone[i][3] or not alone[i + 1][3] or glued[i] in _HYPHEN:
+                active[i] = True
+            elif (word := parts[i][3] + parts[i + 1][3]) in low:
+                # Sound tokens that together make a word.
+                k, apart = i + 1, alone[i][0] + alone[i + 1][0]
+                while True:
+                    c = self.cost.get(word)
+                    if c is not None and c + (SPACED if len(word) == k - i + 1 else SPLIT) * (k - i) < apart:
+                        active[i] = True
+                        break
+                    if not joins[k] or (word := word + parts[k + 1][3]) not in low:
                         break
-                if j - i > 2:
-                    self._join(i, j - i, text, pre, parts[j - 1][2], "split", total, back, SPLIT, True)
-            if c + prices[i + 1][0] > 9:
-                self._join(i, 2, core + nxt[1], pre, nxt[2], "split", total, back, SPLIT, True)
-                if i + 2 < n and not nxt[2] and parts[i + 2][1] and not parts[i + 2][0]:
-                    if glued[i + 1] in _HYPHEN or prices[i + 1][0] > 8:
-                        self._join(i, 3, core + nxt[1] + parts[i + 2][1], pre, parts[i + 2][2], "split", total, back, SPLIT * (1 if glued[i + 1] in _HYPHEN else 2), True)
-        out, kinds, at = [], Counter(), n
-        while at:
-            i, text, kind = back[at]
-            out.append((text, i))
-            if kind:
-                kinds[kind] += 1
-            at = i
-        return out[::-1], kinds
-
-    def _join(self, i: int, k: int, core: str, pre: str, post: str, kind: str, total: list, back: list, extra: float, allowed: bool) -> None:
-        if not allowed or len(core) > MOST_LETTERS:
-            return
-        if kind == "split" and core.lower() not in self.cost and not _ODD.search(core.lower()):
-            return  # only known words are put together from parts
-        c, reading, _ = self.best(core)
-        if kind == "split" and reading.lower() not in self.cost:
-            return
-        if kind == "hyphen" and reading.lower() not in self.cost:
-            c = min(c, self.logs + 6.0)  # an unknown word may be hyphenated too
-        if total[i] + c + extra < total[i + k]:
-            total[i + k], back[i + k] = total[i] + c + extra, (i, pre + reading + post, kind)
+                    k += 1
+                    apart += alone[k][0]
+            if active[i] or i and joins[i - 1] and not alone[i][3]:
+                # Tokens before from which a word can lead up to here.
+                k, before = i - 1, ""
+                while k >= 0 and joins[k] and len(before) <= self.longest:
+                    before = parts[k][3] + before
+                    if before in self.low:
+                        active[k] = True
+                    k -= 1
+        return active
+
+    def _stretch(self, a: int, b: int, parts: list, alone: list, glued: list[str], active: list[bool], out: list, kinds: Counter) -> None:
+        """Decode the tokens from a to b, between which words may go on."""
+        source = "".join(parts[i][1] for i in range(a, b))
+        low = _lower(source)
+        ends, gaps = [0], {}
+        for i in range(a, b):
+            ends.append(ends[-1] + len(parts[i][1]))
+            gaps[ends[-1]] = glued[i]
+        last = gaps.pop(ends[-1])
+        if last in _HYPHEN:
+            gaps[ends[-1]] = last  # it stays
+        total, back = self._lattice(source, low, gaps, ends, [alone[i][0] for i in range(a, b)], {ends[i - a] for i in range(a, b) if active[i]}, [(0, alone[i][1], alone[i][2]) for i in range(a, b)])
+        words, found = _path(back, len(source))
+        kinds.update(found)
+        at_end = {e: a + k - 1 for k, e in enumerate(ends) if k}
+        first = {e: a + k for k, e in enumerate(ends[:-1])}
+        token = a
+        for (text, i), stop in zip(words, [*[i for _, i in words[1:]], len(source)]):
+            token = first.get(i, token)
+            pre = parts[first[i]][0] if i in first else ""
+            post = parts[at_end[stop]][2] if stop in at_end else ""
+            if i in first or not out:
+                out.append((pre + text + post, token))
+            else:
+                out.append((text + post, -1))  # parted from the word before within its token
+
+
+def _path(back: list[Edge], n: int) -> tuple[list[tuple[str, int]], tuple[str, ...]]:
+    """((text, where it begins) of each word, all repairs) of the best path."""
+    words: list[tuple[str, int]] = []
+    kinds: list[str] = []
+    at = n
+    while at:
+        i, text, found = back[at]
+        words.append((text, i))
+        kinds += found
+        at = i
+    return words[::-1], tuple(kinds[::-1])
+
+
+def _lower(text: str) -> str:
+    """Lower case of the same length."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x) == 1 else c for c in text for x in (c.lower(),))
 
 
 def _cased(word: str, like: str) -> str:
@@ -325,7 +473,6 @@ def _lettered(core: str) -> bool:
     return core.isalpha() or any(c.isalpha() for c in core) and not _CODE.match(core)
 
 
-@lru_cache(maxsize=CACHED_WORDS)
 def _parts(token: str) -> tuple[str, str, str]:
     core = token.lstrip(_SIGNS)
     pre = token[: len(token) - len(core)]
@@ -358,19 +505,23 @@ def paragraph_starts(lines: list[str], blank_before: list[bool]) -> list[int]:
             cut[i] -= 12.0
         if _NUMBERED.match(lines[i]) or _NUMBERED.match(lines[i - 1]) and len(lines[i - 1]) < 0.8 * width and not closed:
             cut[i] -= 4.0
-    best, came = [0.0] * (n + 1), [0] * (n + 1)
-    for j in range(1, n + 1):
-        inside, best[j] = 0.0, math.inf
-        for i in range(j - 1, max(-1, j - 200), -1):
-            whole = best[i] + (cut[i] if i else 0.0) + inside + (0.5 if j - i == 1 else 0.0)
-            if whole < best[j]:
-                best[j], came[j] = whole, i
-            inside += run[i]
-    starts, at = [], n
-    while at:
-        at = came[at]
-        starts.append(at)
-    return starts[::-1]
+    # The best way up to line i if it begins a paragraph, and if it goes on with one; a paragraph of one line costs a little.
+    begun, going, goes_back = [0.0] * n, [math.inf] * n, [False] * n
+    for i in range(1, n):
+        ended = min(begun[i - 1] + 0.5, going[i - 1])
+        goes_back[i] = begun[i - 1] + 0.5 <= going[i - 1]  # the paragraph that ends before a beginning at i has one line
+        begun[i] = ended + cut[i]
+        going[i] = min(begun[i - 1], going[i - 1]) + run[i]
+    starts, i, begins = [], n - 1, begun[n - 1] + 0.5 <= going[n - 1]
+    while True:
+        if begins:
+            starts.append(i)
+            if not i:
+                return starts[::-1]
+            begins = goes_back[i]
+        else:
+            begins = begun[i - 1] <= going[i - 1]
+        i -= 1
 
 
 def repair(text: str, decoder: Decoder, repeated: frozenset[str], page: str | None = None) -> tuple[str, Counter]:
@@ -416,7 +567,7 @@ def repair(text: str, decoder: Decoder, repeated: frozenset[str], page: str | No
     for word, at in decoded:
         if at in starts and out:
             out.append(starts[at])
-        elif out and out[-1][-1:] not in "-‐‑" or out and glued[at - 1] not in _HYPHEN:
+        elif out and (at < 0 or out[-1][-1:] not in "-‐‑" or glued[at - 1] not in _HYPHEN):
             out.append(" ")
         out.append(word)
     return "".join(out), kinds
