@@ -1,25 +1,36 @@
 """Problem 5: broken prompt and response pairs.
 
 Rules in a fixed order, each on its own, so that a record shows every defect it
-has; ``ORDER`` decides which comes first. All but one look at the record alone.
-The rule of abrupt endings asks the corpus: an answer that stops without a
-closing mark is whole if its last words end closed sentences or items
-elsewhere. Those last words are joined with the endings of all records.
+has; ``ORDER`` decides which comes first. Two of them ask the corpus. The rule
+of abrupt endings: an answer that stops without a closing mark is whole if its
+last words end closed sentences or items elsewhere; those last words are joined
+with the endings of all records. The rule of languages: texts that the table of
+common words tells are counted into profiles of letter triples, one for each
+language of the table, and the profiles tell all texts. Texts in other scripts
+than the instruction's need no profile.
 """
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.storage import table, written
+from foliospark.storage import small_enough, table, written
+
+#: Most endings that are asked about and broadcast; beyond, they are joined.
+BROADCAST_TAILS = 300_000
 
 ORDER = ("empty", "refusal", "copy", "language", "truncated")
+#: Shown beside those: the answer begins with the whole instruction or input and then goes on.
+ECHO = "echo"
 
 # Words that only label or stand in for an answer.
 LABEL = r"(?:output|answer|response|reply|assistant|model|result|question|instruction|input|task|prompt|note|q|a|antwort|frage|ausgabe|aufgabe|réponse|question|sortie|respuesta|pregunta|salida|odpowiedź|pytanie|wynik|ответ|вопрос|результат)"
@@ -76,7 +87,7 @@ def is_refusal(instruction: str, output: str) -> bool:
     """The answer opens with the model declining, in its first two sentences."""
     if ASKED_TO_REFUSE.search(instruction):
         return False
-    opening = " ".join([s for s in _SENTENCES.split(unlabelled(output)) if s.strip()][:2])[:280].replace("’", "'").replace("`", "'")
+    opening = " ".join([s for s in _SENTENCES.split(unlabelled(output), 4) if s.strip()][:2]).replace("’", "'").replace("`", "'")
     return bool(REFUSAL.search(opening))
 
 
@@ -87,93 +98,174 @@ def _bare(text: str | None) -> str:
     return " ".join(_WORD.findall((text or "").lower()))
 
 
-def is_copy(instruction: str, given: str | None, output: str) -> bool:
-    """Nothing but the instruction, the whole input or both, whatever the case, the marks and the label, once or repeated."""
+def _first(text: str | None) -> str:
+    found = _WORD.search(text or "")
+    return found[0].lower() if found else ""
+
+
+def copied(instruction: str, given: str | None, output: str) -> str | None:
+    """``copy``: nothing but the instruction, the whole input or both, whatever the case, the marks and the label, once or repeated.
+
+    ``echo``: the whole instruction or input, and then something else. Whole
+    texts are compared, but only where their first words agree.
+    """
     answer = unlabelled(output)
-    # A copy begins as the instruction or the input does; most answers are done with here.
-    begin = {_bare(t[:80])[:25] for t in (instruction, given or "")} - {""}
-    if not any(_bare(t[:80]).startswith(x) for t in (output, answer) for x in begin):
-        return False
+    begins = {_first(instruction), _first(given)} - {""}
+    if not begins & {_first(output), _first(answer)}:
+        return None
     ask, text = _bare(instruction), _bare(given)
-    ours = {_bare(output), _bare(answer)} - {""}
-    for o in ours:
+    echo = None
+    for o in {_bare(output), _bare(answer)} - {""}:
         if ask and (o == ask or len(o) > len(ask) and o == " ".join([ask] * ((len(o) + 1) // (len(ask) + 1)))):
-            return True
+            return "copy"
         if text and ask and o in (f"{ask} {text}", f"{text} {ask}"):
-            return True
+            return "copy"
         if text and o == text:
             # Asked for the first sentence of a text of one sentence, the whole text is the answer.
-            return not (_COPY_TASK.search(instruction) and len([s for s in _SENTENCES.split((given or "").strip()) if s.strip()]) == 1)
+            return None if _COPY_TASK.search(instruction) and len([s for s in _SENTENCES.split((given or "").strip()) if s.strip()]) == 1 else "copy"
         if text and len(o) > len(text) and o == " ".join([text] * ((len(o) + 1) // (len(text) + 1))):
-            return True
-    return False
-
-
-# Further words that tell the languages apart, beside the table of common words.
-TELLING = {
-    "en": "how many does did do i my your yes only partly has have had been will would can there here its their list write answer explain describe copy summarise summarize translate form",
-    "de": "ich mein ihr wie viele was wer warum ja nein nur zum teil dass daß hat haben sich noch nenne beschreibe erkläre antworte schreibe fasse gilt laut durch zur vom dieser dieses",
-    "fr": "je mon votre combien oui non seulement partie où leur leurs ont y aussi même décris explique réponds énumère résume recopie rédige traduis",
-    "es": "mi cuántas cuántos qué quién sí solo sólo parte ha han su sus también describe explica enumera responde resume copia escribe traduce cerca fin",
-    "pl": "czy ile tak nie tylko częściowo oraz mówi opisz wyjaśnij wymień odpowiedz streść przepisz napisz przetłumacz fragment około roku natomiast jego jej są",
-    "ru": "ли сколько да нет лишь отчасти верно опиши объясни перечисли ответь перескажи выпиши напиши переведи около года согласно свою или",
-}
-_HINTS = (("pl", re.compile("[łąęśćźżń]")), ("de", re.compile("[äöüß]")), ("es", re.compile("[ñ¿¡]")), ("fr", re.compile("[çèêàùœîôû]")))
-_CYRILLIC, _LATIN = re.compile("[Ѐ-ӿ]"), re.compile("[a-zà-ɏ]")
-_TRANSLATION = re.compile(r"\b(?:translat|übersetz|tradui[st]|traduire|traduc|traduz|przetłumacz|tłumacz|перевед|перевест|переклад)|\b(?:in|into|auf|ins|en|na język|на) (?:english|german|french|spanish|polish|russian|englisch|deutsch|französisch|spanisch|polnisch|russisch|anglais|allemand|français|espagnol|polonais|russe|inglés|alemán|francés|español|polaco|ruso)\b", re.I)
+            return "copy"
+        if any(x.count(" ") > 2 and o.startswith(x + " ") for x in (ask, text)):
+            echo = ECHO
+    return echo
 
 
-LANGUAGES = tuple(TELLING)
+_TRANSLATION = re.compile(r"\b(?:translat|übersetz|tradui[st]|traduire|traduc|traduz|przetłumacz|tłumacz|перевед|перевест|переклад)|\b(?:in|into|auf|ins|en|na język|на) (?:english|german|french|spanish|polish|russian|englisch|deutsch|französisch|spanisch|polnisch|russisch|anglais|allemand|français|espagnol|polonais|russe|inglés|alemán|francés|español|polaco|ruso)\b", re.I)
+_LETTERS = re.compile(r"[^\W\d_]+")
+#: First code points of scripts and of what lies between; letters below belong to the entry before.
+_SCRIPTS = ((0, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"), (0x900, "indic"), (0xE00, "thai"), (0x10A0, "georgian"), (0x1100, "hangul"), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "latin"), (0x3040, "kana"), (0x3400, "han"), (0xAC00, "hangul"), (0xD800, "other"), (0xF900, "han"), (0xFB00, "latin"), (0xFB1D, "arabic"), (0xFF00, "latin"), (0x20000, "han"))
+_SCRIPT_STARTS = [a for a, _ in _SCRIPTS]
+#: Nats by which a language has to be likelier than the next to be the instruction's, and than the instruction's to be the answer's; and by letter triple, for long texts.
+CLEAR, OTHER, OTHER_PER_TRIPLE = 3.0, 4.0, 0.12
+#: Triples rarer than one in so many are left out of the profiles, so there can be no more than this many for each language.
+MOST_TRIPLES = 100_000
+CACHED_WORDS = 300_000
+
+
+_ROWS = re.compile(r"^[ \t]*\|.*$", re.M)
+
+
+def words_in(text: str) -> list[str]:
+    return _LETTERS.findall(text.lower())
+
+
+def script(words: list[str]) -> str | None:
+    """The script of two thirds of the letters at least."""
+    text = "".join(words)
+    if text.isascii():
+        return "latin" if text else None
+    seen = Counter(_SCRIPTS[bisect_right(_SCRIPT_STARTS, ord(c)) - 1][1] for c in text)
+    name, n = seen.most_common(1)[0]
+    # Japanese is written in both.
+    n += seen["kana"] if name == "han" else 0
+    return name if 3 * n >= 2 * len(text) else None
+
+
+def triples(word: str) -> list[str]:
+    padded = f" {word} "
+    return [padded[k : k + 3] for k in range(len(padded) - 2)]
+
+
+class Profiles:
+    """Letter triples by language: how much likelier a text is in one language than in another."""
+
+    def __init__(self, counts: dict[str, dict[str, int]]) -> None:
+        self.languages = sorted(counts)
+        every = {t for c in counts.values() for t in c}
+        self.logs = {t: [0.0] * len(self.languages) for t in every}
+        for k, lang in enumerate(self.languages):
+            whole = sum(counts[lang].values()) + 0.5 * len(every)
+            for t in every:
+                self.logs[t][k] = math.log((counts[lang].get(t, 0) + 0.5) / whole)
+        self.at: dict[str, int] = {}
+        self.table = np.zeros((1024, len(self.languages) + 1))
+
+    def _add(self, word: str) -> int:
+        if len(self.at) >= CACHED_WORDS:
+            self.at.clear()
+        k = self.at[word] = len(self.at)
+        if k >= len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        known = [v for t in triples(word) if (v := self.logs.get(t)) is not None]
+        self.table[k, :-1] = np.sum(known, axis=0) if known else 0.0
+        self.table[k, -1] = len(known)
+        return k
+
+    def scores(self, words: list[str]) -> tuple[np.ndarray, int]:
+        """(log likelihood in each language, triples known)."""
+        at = self.at
+        if len(at) + len(words) > CACHED_WORDS:
+            at.clear()
+        rows = [k if (k := at.get(w)) is not None else self._add(w) for w in words]
+        total = self.table[rows].sum(axis=0)
+        return total[:-1], int(total[-1])
+
+
+def is_other_language(instruction: str, output: str, profiles: Profiles) -> bool:
+    """The answer is in another script or language than the instruction, and no translation is asked for."""
+    answer = unlabelled(output)
+    if not _CLOSED.search(answer):
+        answer = answer.rpartition(" ")[0]  # the last word may be cut
+    # Cells of a table are names, too few and too short to tell a language.
+    asked, got = words_in(instruction), words_in(_ROWS.sub(" ", answer))
+    if not asked or not got:
+        return False
+    ours, theirs = script(asked), script(got)
+    if ours and theirs and ours != theirs:
+        return sum(map(len, got)) > 3 and not _TRANSLATION.search(instruction)
+    if len(profiles.languages) < 2:
+        return False
+    ask, _ = profiles.scores(asked)
+    k = int(ask.argmax())
+    if ask[k] - np.partition(ask, -2)[-2] < CLEAR:
+        return False  # the instruction's language is not clear
+    answered, n = profiles.scores(got)
+    return bool(answered.max() - answered[k] > max(OTHER, OTHER_PER_TRIPLE * n)) and not _TRANSLATION.search(instruction)
 
 
-def lexicon(common: dict[str, Iterable[str]]) -> dict[str, int]:
-    """Word -> bits of the languages it tells, by their place in ``LANGUAGES``."""
-    bits: dict[str, int] = {}
-    for i, lang in enumerate(LANGUAGES):
-        for word in {*TELLING[lang].split(), *common.get(lang, ())}:
-            bits[word] = bits.get(word, 0) | 1 << i
-    return bits
+def profile_counts(records: DataFrame, telling: dict[str, int], languages: list[str]) -> dict[str, dict[str, int]]:
+    """Letter triples of the instructions and answers that common words tell: twice as many of one language as of any other, two at least.
 
+    A short text that they do not tell counts for the language of the other half of
+    its pair: most pairs are of one language, and the odd ones weigh little. Words are counted in batches and cut into triples once for each batch and
+    word; what comes to the driver is bounded by ``MOST_TRIPLES``.
+    """
 
-def languages(text: str, bits: dict[str, int]) -> dict[str, int]:
-    """Votes per language: words that tell it from all others, or, where there are none, words it shares; and letters."""
-    low = text.lower().replace("’", "' ")
-    told = Counter([b for w in _WORD.findall(low) if (b := bits.get(w))])
-    own = {b: n for b, n in told.items() if not b & b - 1}
-    told = own or told
-    votes = {lang: sum(n for b, n in told.items() if b >> i & 1) for i, lang in enumerate(LANGUAGES)}
-    if not low.isascii() and _CYRILLIC.search(low):
-        n = len(_CYRILLIC.findall(low))
-        if n > len(_LATIN.findall(low)):
-            votes = {"ru": max(1, votes["ru"]) + n // 4}
-    else:
-        del votes["ru"]
-        if not low.isascii():
-            for lang, hint in _HINTS:
-                votes[lang] += min(3, len(hint.findall(low)))
-    return votes
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = [Counter() for _ in languages]
 
+        def flush() -> pa.RecordBatch:
+            rows = []
+            for k, words in enumerate(seen):
+                grams: Counter = Counter()
+                for w, n in words.items():
+                    for t in triples(w):
+                        grams[t] += n
+                rows += [(k, t, n) for t, n in grams.items()]
+                words.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 3, (pa.int32(), pa.string(), pa.int64()))], names=["lang", "triple", "n"])
 
-def is_other_language(instruction: str, output: str, bits: dict[str, int]) -> bool:
-    if _TRANSLATION.search(instruction):
-        return False
-    answer = unlabelled(output)
-    if not _CLOSED.search(answer):
-        answer = answer.rpartition(" ")[0]  # the last word may be cut
-    asked, got = languages(instruction, bits), languages(answer, bits)
-    if not asked or not got or not max(asked.values()) or not max(got.values()):
-        return False
-    expected = max(asked, key=asked.get)
-    if sorted(asked.values())[-2:].count(asked[expected]) > 1:
-        return False  # the instruction's language is not clear
-    best, own = max(got.values()), got.get(expected, 0)
-    if best < 2:
-        # One vote is enough against a sentence of some length without any for the instruction's language.
-        n = len(_WORD.findall(answer))
-        if not _CLOSED.search(output.rstrip()) or 4 < n < 7 or own:
-            return False
-    # Short answers: a word known to two languages votes for both, and the instruction's stands.
-    return best >= 2 * own + 1
+        def told(words: list[str]) -> int | None:
+            votes = Counter([lang for w in words if (lang := telling.get(w)) is not None]).most_common(2)
+            return votes[0][0] if votes and votes[0][1] > 1 and (len(votes) < 2 or votes[0][1] >= 2 * votes[1][1]) else None
+
+        for b in batches:
+            for instruction, output in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                ask, answer = words_in(instruction or ""), words_in(output or "")
+                first, second = told(ask), told(answer)
+                for words, lang in ((ask, second if first is None else first), (answer, first if second is None else second)):
+                    if lang is not None:
+                        seen[lang].update(words)
+            if sum(map(len, seen)) > 100_000:
+                yield flush()
+        yield flush()
+
+    counted = written(records.select("instruction", "output").mapInArrow(run, "lang int, triple string, n long").groupBy("lang", "triple").agg(F.sum("n").alias("n")), "triples")
+    least = counted.groupBy("lang").agg(F.greatest(F.lit(2), F.ceil(F.sum("n") / MOST_TRIPLES)).alias("least"))  # a row for each language
+    out: dict[str, dict[str, int]] = {}
+    for r in counted.join(F.broadcast(least), "lang").where("n >= least").select("lang", "triple", "n").collect():
+        out.setdefault(languages[r["lang"]], {})[r["triple"]] = r["n"]
+    return out
 
 
 _CLOSED = re.compile(r"[.!?…。！？][\"'»”“’)\]*_`]*$")
@@ -232,7 +324,7 @@ def broken_off(output: str) -> tuple[bool, str | None]:
     return False, _tail(segment)
 
 
-def judge(instruction: str | None, given: str | None, output: str | None, bits: dict[str, int]) -> tuple[list[str], str | None]:
+def judge(instruction: str | None, given: str | None, output: str | None, profiles: Profiles) -> tuple[list[str], str | None]:
     """(defects that the record shows by itself, last words to be looked up)."""
     if instruction is None or not instruction.strip():
         return [], None  # a raw model reply answers nothing
@@ -241,14 +333,15 @@ def judge(instruction: str | None, given: str | None, output: str | None, bits:
     found = []
     if is_refusal(instruction, output):
         found.append("refusal")
-    if is_copy(instruction, given, output):
+    repeats = copied(instruction, given, output)
+    if repeats == "copy":
         found.append("copy")
-    if is_other_language(instruction, output, bits):
+    if is_other_language(instruction, output, profiles):
         found.append("language")
     cut, tail = broken_off(output)
     if cut:
         found.append("truncated")
-    return found, tail
+    return found + [ECHO] * (repeats == ECHO), tail
 
 
 def pair_defects(records: DataFrame, common_words: DataFrame) -> DataFrame:
@@ -256,35 +349,58 @@ def pair_defects(records: DataFrame, common_words: DataFrame) -> DataFrame:
 
     Records whose instruction is null or blank are none, whatever else they hold;
     a null output is empty, a null input is no input; repeated records are judged
-    each; empty tables give no rows. The table of common words is one of
+    each; empty tables give no rows; without common words only scripts tell
+    languages apart. The table of common words is one of
     settings: more than 100,000 rows are refused.
     """
     rows = common_words.select("lang", "word").where("lang IS NOT NULL AND word IS NOT NULL").limit(100_001).collect()
     if len(rows) > 100_000:
         raise ValueError("common_words is not a table of settings")
-    bits = lexicon({lang: [r["word"] for r in rows if r["lang"] == lang] for lang in LANGUAGES})
+    languages = sorted({r["lang"] for r in rows})
+    pairs = {(r["word"].lower(), r["lang"]) for r in rows}
+    held = Counter(w for w, _ in pairs)
+    telling = {w: languages.index(lang) for w, lang in pairs if held[w] == 1}
     columns = records.select("record_id", "instruction", "input", "output")
+    shared = records.sparkSession.sparkContext.broadcast(profile_counts(columns, telling, languages))
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        profiles = _profiles(shared)
         for b in batches:
-            got = [judge(i, n, o, bits) for i, n, o in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)))]
+            got = [judge(i, n, o, profiles) for i, n, o in zip(*(b.column(k).to_pylist() for k in (1, 2, 3)))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([d for d, _ in got], pa.list_(pa.string())), pa.array([t for _, t in got], pa.string())], names=["record_id", "defects", "tail"])
 
+    # Kept, for it is read twice; most records show nothing and are gone here.
+    found = written(columns.mapInArrow(judged, "record_id long, defects array<string>, tail string").where("size(defects) > 0 OR tail IS NOT NULL"), "judged")
+    asked = found.where("tail IS NOT NULL").select("record_id", "defects", "tail")
+    tails = written(asked.select("tail").distinct(), "tails")
+    few = {r["tail"] for r in tails.collect()} if small_enough(tails, BROADCAST_TAILS) else None
+    wanted = records.sparkSession.sparkContext.broadcast(few)
+
     def ended(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             seen = {t for k in (0, 1) for text in b.column(k).to_pylist() for t in endings(text)}
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(seen), pa.string())], names=["tail"])
-
-    # Kept, for it is read twice; most records show nothing and are gone here.
-    found = columns.mapInArrow(judged, "record_id long, defects array<string>, tail string").where("size(defects) > 0 OR tail IS NOT NULL")
-    found = written(found, "judged")
-    # Only endings that some answer asks about are kept: few answers end without a mark.
-    asked = found.where("tail IS NOT NULL").select("record_id", "defects", "tail")
-    known = columns.select("input", "output").mapInArrow(ended, "tail string").distinct().withColumn("known", F.lit(True))
-    looked_up = asked.join(known, "tail", "left").select("record_id", F.when(F.col("known") | F.array_contains("defects", "truncated"), F.col("defects")).otherwise(F.array_append("defects", F.lit("truncated"))).alias("defects"))
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(seen if wanted.value is None else seen & wanted.value), pa.string())], names=["tail"])
+
+    # Of the endings of the corpus those that some answer asks about, once each; the last words of many answers may be the same.
+    known = columns.select("input", "output").mapInArrow(ended, "tail string").distinct().join(tails, "tail", "left_semi")
+    known = written(known, "endings").withColumn("known", F.lit(True))
+    known = F.broadcast(known) if few is not None else known
+    cut = F.concat(F.filter("defects", lambda d: d != ECHO), F.array(F.lit("truncated")), F.filter("defects", lambda d: d == ECHO))
+    looked_up = asked.join(known, "tail", "left").select("record_id", F.when(F.col("known") | F.array_contains("defects", "truncated"), F.col("defects")).otherwise(cut).alias("defects"))
     return found.where("tail IS NULL").select("record_id", "defects").unionByName(looked_up).where(F.size("defects") > 0)
 
 
+_MADE: list = []
+
+
+def _profiles(shared) -> Profiles:
+    """One for each Python worker, made again for another broadcast."""
+    counts = shared.value
+    if not _MADE or _MADE[0] is not counts:
+        _MADE[:] = [counts, Profiles(counts)]
+    return _MADE[1]
+
+
 def _defects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_defects(table(spark, sf_dir, "alpaca_records", ["record_id", "instruction", "input", "output"]), table(spark, sf_dir, "common_words"))
 
@@ -294,8 +410,8 @@ def p5_defects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first defect of each broken record."""
-    return _defects(spark, sf_dir).select("record_id", F.col("defects")[0].alias("defect"))
+    """The first defect of each broken record; an echo alone is none."""
+    return _defects(spark, sf_dir).select("record_id", F.col("defects")[0].alias("defect")).where(F.col("defect") != ECHO)
 
 
 QUERIES = {"p5_found": p5_found, "p5_defects": p5_defects}

@@ -1,9 +1,19 @@
+from collections import Counter
+
 import pytest
 
 from foliospark.llm import pair_defects as P
 
 COMMON = {"en": "the a of and is to in on".split(), "de": "der die das und ist den im".split(), "fr": "le la les des est et du".split(), "es": "el la los de es y en".split(), "pl": "nie jest na w z do się".split(), "ru": "и в на не что по".split()}
-WORDS = P.lexicon(COMMON)
+SPOKEN = {
+    "en": "What is on the list of the day? The list is on the long desk and the key is in the drawer. Who signs the form during the quiet period, and where does it go? I cannot help with that request.",
+    "de": "Wer hat die Liste und den Plan? Der Plan ist im Haus und die Liste ist in der Tasche. Fasse den Abschnitt zusammen. Nenne den Grund, aus dem der Empfang die Schlüssel verwahrt.",
+    "fr": "Le plan est dans la maison et les clés du bureau sont sur la table. Résume le passage et décris la liste des clés. Qui a signé le formulaire pendant la période calme?",
+    "es": "El plano está en la casa y las llaves de la oficina están en la mesa. Resume el pasaje y describe la lista de las llaves. Quién firmó el formulario durante el período tranquilo?",
+    "pl": "Lista jest na stole, a klucze do biura są w szufladzie. Streść fragment i opisz listę kluczy. Kto podpisał formularz w czasie ciszy? Przetłumacz fragment na język rosyjski.",
+    "ru": "Список лежит на столе и в ящике. Что лежит на столе? Перескажи отрывок и опиши список ключей. Кто подписал форму во время тихого часа?",
+}
+WORDS = P.Profiles({k: Counter(t for w in P.words_in(text) for t in P.triples(w)) for k, text in SPOKEN.items()})
 ASK = "What is on the list of the day?"
 
 
@@ -45,6 +55,10 @@ def test_no_refusals(ask, output):
 
 def test_copies():
     text = "The list is long. The day is short."
+    long = "The list is long and the day is short, " * 40
+    assert "copy" in P.judge("word " * 50 + "x", None, "«" + "Word; " * 50 + "X»", WORDS)[0] and "copy" in P.judge(ASK, long, "Answer:\n" + long.upper(), WORDS)[0]
+    assert P.judge(ASK, None, f"{ASK} The list is on the desk.", WORDS)[0] == ["echo"] and P.judge(ASK, text, f"{text} And so it is.", WORDS)[0] == ["echo"]
+    assert P.judge(ASK, None, long[:-1] + " but I cannot help with that request.", WORDS)[0][:1] == ["refusal"]
     copied = lambda o, ask=ASK, given=text: "copy" in P.judge(ask, given, o, WORDS)[0]
     assert copied(ASK) and copied(ASK.lower()) and copied(f'"{ASK}"') and copied(f"Question: {ASK}") and copied(f"{ASK} {ASK}") and copied(text) and copied(f"{ASK}\n{text}") and copied(f"{text}\n{ASK}") and copied(f"Instruction: {ASK}")
     assert not copied("The list is long.") and not copied(f"{ASK}\nThe list is long.") and not copied("It is on the desk.")
@@ -56,6 +70,8 @@ def test_languages():
     de, ru, fr = "Der Plan ist im Haus und die Liste ist in der Tasche.", "Список лежит на столе и в ящике.", "Le plan est dans la maison et les clés du bureau."
     assert other(ASK, de) and other(ASK, ru) and other(ASK, fr) and other("Wer hat die Liste und den Plan?", ASK + " It is on the desk.") and other("Что лежит на столе?", de)
     assert not other(ASK, "The list is on the desk.") and not other("Translate the passage into German.", de) and not other("Przetłumacz fragment na język rosyjski.", ru) and not other("Wer hat die Liste?", de)
+    assert other(ASK, "清单在桌子上，钥匙在抽屉里。") and other(ASK, "Ο κατάλογος είναι στο τραπέζι.") and not other("清单在哪里？", "清单在桌子上。") and not other("どこにありますか？", "机の上にあります。漢字")
+    assert not other(ASK, "| Funnel | Nozzle |\n|---|---|\n| ledger | 1 |")
     assert not other("Streść fragment.", "No.") and not other(ASK, "GR-12") and not other("Fasse zusammen.", "42")
 
 
@@ -65,17 +81,21 @@ def test_certain_breaks():
     assert not cut("```\ncode\n```") and not cut("| a | b |\n|---|---|\n| c | 1 |") and not cut("It is (on the desk).") and not cut("- one\n- two") and not cut("Yes") and not cut("42")
 
 
+def common_of(spark):
+    return spark.createDataFrame([(k, w) for k, ws in COMMON.items() for w in ws] + [(None, "x"), ("en", None)], "lang string, word string")
+
+
 def test_endings_are_looked_up(spark):
     closed = "The clerk signs the form during the quiet period. The list is on the long desk."
     rows = [(1, ASK, None, closed), (2, ASK, None, "The clerk signs the form during the quiet period"), (3, ASK, None, "The clerk signs the form during the qui"), (4, ASK, None, "- the red list\n- the blue list\n- the key"), (5, ASK, None, "- the key\n- the red list"), (6, ASK, None, "- the key\n- the red li"), (7, "", None, None), (8, None, None, ""), (9, ASK, "x", None), (10, ASK, None, "The list is on the long desk")]
     df = spark.createDataFrame([(*r, "clash") for r in rows] + [(11, *rows[2][1:], "clash")], "record_id long, instruction string, input string, output string, tail string")
-    common = spark.createDataFrame([(k, w) for k, ws in COMMON.items() for w in ws] + [(None, "x"), ("en", None)], "lang string, word string")
+    common = common_of(spark)
     got = {r["record_id"]: r["defects"] for r in P.pair_defects(df, common).collect()}
     assert got == {3: ["truncated"], 6: ["truncated"], 9: ["empty"], 11: ["truncated"]}
 
 
 def test_every_defect_is_shown_in_order(spark):
-    df = spark.createDataFrame([(1, "Wer hat die Liste und den Plan?", None, "I'm sorry, I can't help with the list of the day, and the"), (2, ASK, None, "x " * 200_000 + "the")], "record_id long, instruction string, input string, output string")
-    common = spark.createDataFrame([(k, w) for k, ws in COMMON.items() for w in ws], "lang string, word string")
-    got = {r["record_id"]: r["defects"] for r in P.pair_defects(df, common).collect()}
+    rows = [(1, SPOKEN["de"], None, "I'm sorry, I can't help with the list of the day on the desk and the key in the"), (2, ASK, None, "The list " * 100_000 + "of")]
+    df = spark.createDataFrame(rows + [(10 + i, SPOKEN[k], None, SPOKEN[k]) for i, k in enumerate([*SPOKEN] * 30)], "record_id long, instruction string, input string, output string")
+    got = {r["record_id"]: r["defects"] for r in P.pair_defects(df, common_of(spark)).where("record_id < 10").collect()}
     assert got == {1: ["refusal", "language", "truncated"], 2: ["truncated"]}
