@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +21,7 @@ from foliospark.storage import table
 
 #: The statistics that are asked for, then those of the text's form; all are doubles. Shares are of the characters of all lines, but for those of lines and words.
 STATISTICS = ("words", "mean_word_length", "symbol_ratio", "punctuated_lines", "common_words")
-FORM = ("digit_ratio", "delimited", "named", "marked", "entries", "short", "listed", "coded", "prose", "continued", "sentences_per_word", "distinct_words", "repeated_pairs", "menu", "odd_signs")
+FORM = ("digit_ratio", "delimited", "named", "marked", "entries", "short", "listed", "coded", "prose", "continued", "sentences_per_word", "distinct_words", "repeated_pairs", "menu", "odd_signs", "repeated_lines")
 
 _RUN = re.compile(r"[^\W_]+")
 _DIGIT = re.compile(r"\d")
@@ -82,7 +82,7 @@ def line_kind(line: str, tokens: list[str], going_on: bool, odd: int | None = No
     return "short"
 
 
-def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
+def measure(text: str, languages_of: dict[str, tuple[int, ...]]) -> tuple[float, ...]:
     """The statistics of one text, in the order of ``STATISTICS`` and ``FORM``.
 
     A blank text measures 0 throughout. Words are runs without white space;
@@ -98,16 +98,13 @@ def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
     letters = sum(map(len, runs))
     counted = Counter(runs)
     digits = sum([times * sum(map(str.isdecimal, w)) for w, times in counted.items() if not w.isalpha()])
-    votes = [0, 0, 0, 0, 0, 0, 0, 0]
-    for word, times in counted.items():
-        bits = languages_of.get(word)
-        if bits:
-            for b in range(8):
-                if bits >> b & 1:
-                    votes[b] += times
-    # A pair cannot make up a fifth of a text unless its words do; sound texts are spared the count.
-    often = sum(times >= 0.2 * len(runs) for times in counted.values())
-    repeated = max(Counter(zip(runs, runs[1:])).values(), default=1) - 1 if often and len(runs) > 1 else 0
+    votes: dict[int, int] = {}
+    for word in counted.keys() & languages_of.keys():
+        for lang in languages_of[word]:
+            votes[lang] = votes.get(lang, 0) + counted[word]
+    repeated = max(Counter(zip(runs, runs[1:])).values(), default=1) - 1
+    seen: set[str] = set()
+    again = 0
     shares = dict.fromkeys(("coded", "delimited", "named", "marked", "entry", "short", "listed", "prose", "menu"), 0)
     lines = closed = continued = whole = rows = odd = 0
     going_on = False
@@ -125,6 +122,10 @@ def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
         kind = line_kind(line, words, going_on, odd_here)
         continued += going_on and line[0].islower()
         whole += len(line)
+        if line in seen:
+            again += len(line)
+        else:
+            seen.add(line)
         shares[kind] += len(line)
         if kind == "delimited" and not _DIGIT.search(line) and _ROW.search(line):
             rows += len(line)
@@ -133,32 +134,37 @@ def measure(text: str, languages_of: dict[str, int]) -> tuple[float, ...]:
         shares["menu"] += rows
         shares["delimited"] -= rows
     return (
-        float(n), solid / n, (solid - letters) / solid, closed / lines, max(votes) / max(1, len(runs)),
+        float(n), solid / n, (solid - letters) / solid, closed / lines, max(votes.values(), default=0) / max(1, len(runs)),
         digits / solid, *[shares[k] / whole for k in ("delimited", "named", "marked", "entry", "short", "listed", "coded", "prose")],
-        continued / lines, len(_SENTENCE.findall(text)) / n, len(counted) / max(1, len(runs)), repeated / max(1, len(runs)), shares["menu"] / whole, odd / solid,
+        continued / lines, len(_SENTENCE.findall(text)) / n, len(counted) / max(1, len(runs)), repeated / max(1, len(runs)), shares["menu"] / whole, odd / solid, again / whole,
     )
 
 
-def common_bits(common_words: DataFrame) -> dict[str, int]:
-    """Word -> bits of the languages it is common in; a table of settings: more than 100,000 rows are refused, as are more than 8 languages."""
+def common_in(common_words: DataFrame) -> dict[str, tuple[int, ...]]:
+    """Word -> numbers of the languages it is common in, of which there may be any number; a table of settings: more than 100,000 rows are refused."""
     rows = common_words.select("lang", "word").where("lang IS NOT NULL AND word IS NOT NULL").limit(100_001).collect()
-    order = {lang: i for i, lang in enumerate(sorted({r["lang"] for r in rows}))}
-    if len(rows) > 100_000 or len(order) > 8:
+    if len(rows) > 100_000:
         raise ValueError("common_words is not a table of settings")
-    bits: dict[str, int] = {}
-    for r in rows:
-        bits[r["word"].lower()] = bits.get(r["word"].lower(), 0) | 1 << order[r["lang"]]
-    return bits
+    return languages_of((r["lang"], r["word"]) for r in rows)
+
+
+def languages_of(rows: Iterable[tuple[str, str]]) -> dict[str, tuple[int, ...]]:
+    pairs = sorted({(word.lower(), lang) for lang, word in rows})
+    order = {lang: i for i, lang in enumerate(sorted({lang for _, lang in pairs}))}
+    out: dict[str, tuple[int, ...]] = {}
+    for word, lang in pairs:
+        out[word] = (*out.get(word, ()), order[lang])
+    return out
 
 
 def measured(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     """``doc_id`` and the statistics of each document; a null text measures as a blank one, copies are measured each, empty tables give no rows."""
-    bits = common_bits(common_words)
+    known = common_in(common_words)
     names = STATISTICS + FORM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [measure(t or "", bits) for t in b.column(1).to_pylist()]
+            rows = [measure(t or "", known) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.float64()) for c in (zip(*rows) if rows else [[]] * len(names))]], names=["doc_id", *names])
 
     return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, " + ", ".join(f"{n} double" for n in names))

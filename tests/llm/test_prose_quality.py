@@ -3,6 +3,7 @@ import pytest
 
 from foliospark.llm import prose_quality as Q
 from foliospark.llm import quality_training as T
+from foliospark.llm.quality_labels import HAND
 from foliospark.llm.quality_rules import RULES
 from tests.conftest import SMALL
 
@@ -11,12 +12,7 @@ PROSE = "The night operator closes the door in the evening. It is not open on th
 
 @pytest.fixture(scope="module")
 def known():
-    bits = {}
-    rows = pq.read_table(f"{SMALL}/common_words.parquet").to_pylist()
-    order = sorted({r["lang"] for r in rows})
-    for r in rows:
-        bits[r["word"]] = bits.get(r["word"], 0) | 1 << order.index(r["lang"])
-    return bits
+    return Q.languages_of((r["lang"], r["word"]) for r in pq.read_table(f"{SMALL}/common_words.parquet").to_pylist())
 
 
 def kind(text, known):
@@ -39,10 +35,36 @@ def test_kinds(known, want, text):
     assert kind(text, known) == want
 
 
+@pytest.mark.parametrize(("want", "text"), CASES)
+def test_annotator(known, want, text):
+    assert T.annotate(text, set(known)) == want
+
+
 def test_held_out_accuracy(known):
     """The rules were induced on another table; here they meet these documents for the first time."""
     texts = pq.read_table(f"{SMALL}/documents.parquet")["text"].to_pylist()
-    assert sum(kind(t, known) == T.annotate(t, known) for t in texts) / len(texts) > 0.985
+    assert sum(kind(t, known) == T.annotate(t, set(known)) for t in texts) / len(texts) > 0.99
+
+
+def test_as_people_read_them(known):
+    """Documents labelled by hand, which grew no rule."""
+    rows = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["doc_id", "text"], filters=[("doc_id", "in", list(HAND))]).to_pylist()
+    assert len(rows) == len(HAND) > 100 and set(HAND.values()) == {"prose", "list", "table", "junk"}
+    assert sum(kind(r["text"], known) == HAND[r["doc_id"]] for r in rows) >= 0.98 * len(rows)
+
+
+def test_any_number_of_languages_and_exact_pairs():
+    many = Q.languages_of([(f"l{i}", w) for i in range(40) for w in ("aa", f"w{i}")])
+    row = dict(zip(T.NAMES, Q.measure("w39 w39 aa b c b c\nb c x\nb c x", many)))
+    assert row["common_words"] == 3 / 13 and row["repeated_pairs"] == 3 / 13 and row["repeated_lines"] == 5 / 28
+    assert len(many["aa"]) == 40
+
+
+def test_training_rows_are_bounded_and_picked_by_spark(spark, monkeypatch):
+    monkeypatch.setattr(T, "MOST_DOCUMENTS", 5)
+    df = spark.createDataFrame([(i, None if i % 3 == 0 else f"t{i}") for i in range(30)], "doc_id long, text string")
+    got = T.picked(df, {1, 2})
+    assert len(got) == 5 and not {1, 2} & {i for i, _ in got} and got == T.picked(df.repartition(3), {1, 2})
 
 
 def test_induction_finds_simple_rules():
@@ -53,7 +75,7 @@ def test_induction_finds_simple_rules():
     rows = []
     for _ in range(400):
         v = [rng.random() for _ in names]
-        rows.append((tuple(v), "list" if v[3] > 0.7 else "junk" if v[2] <= 0.2 else "prose"))
+        rows.append((tuple(v), "list" if v[3] > 0.7 else "junk" if v[4] <= 0.2 else "prose"))
     rules = T.irep(rows, 3)
     assert sum(T.decide(rules, r) == k for r, k in rows) / len(rows) > 0.95
 
