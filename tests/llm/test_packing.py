@@ -10,7 +10,7 @@ def test_best_fit():
     rng = random.Random(3)
     for _ in range(50):
         sizes = [rng.randint(0, 60) for _ in range(rng.randint(0, 80))]
-        bins = P.best_fit(sizes, [1] * len(sizes), 60)
+        bins = P.best_fit(sizes, [0] * len(sizes), 60)
         assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
         assert all(sum(sizes[i] for i in b) <= 60 for b in bins)
         # Best fit never leaves two bins that would go into one, but for the last.
@@ -51,10 +51,12 @@ def test_many_rounds_of_small_groups(spark, monkeypatch):
     check(P.pack(df, [(1, 64)]).collect(), texts, 64)
 
 
-def test_members_are_bounded(monkeypatch):
-    monkeypatch.setattr(P, "MOST_MEMBERS", 5)
+def test_only_members_without_tokens_are_bounded(monkeypatch):
+    monkeypatch.setattr(P, "MOST_EMPTY", 5)
     bins = P.best_fit([0] * 23, [1] * 23, 10)
     assert max(map(len, bins)) <= 5 and sum(map(len, bins)) == 23
+    assert len(P.best_fit([1] * 60, [0] * 60, 60)) == 1  # as many as the capacity takes
+    assert sorted(map(len, P.best_fit([7, 3] + [0] * 7, [0, 0] + [1] * 7, 10))) == [2, 7]
 
 
 def test_bad_capacity(spark):
