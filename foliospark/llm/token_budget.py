@@ -64,7 +64,7 @@ def p3_token_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per slice: its files and fragments, and whether the estimate is within 5 % (of small slices 200 tokens) of the exact count."""
+    """Per slice: its files and fragments, and whether the estimate is within 3 % (of small slices 60 tokens) of the exact count."""
     fragments, files = table(spark, sf_dir, "fragments", ["text", "metadata", "chunk_index"]), table(spark, sf_dir, "source_files", ["file_path", "site", "lang", "domain"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +77,7 @@ def p3_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     by = [F.coalesce(F.col(c), F.lit(v)).alias(c) for c, v in (("site", "unknown"), ("lang", "und"), ("domain", "unknown"))]
     exact = exact.join(labels, "source_path", "left").groupBy(*by).agg(F.sum("exact").alias("exact"))
     off = F.abs(F.col("tokens") - F.col("exact"))
-    return token_budget(fragments, files).join(exact, ["site", "lang", "domain"]).select("site", "lang", "domain", "files", "fragments", "unique_fragments", (off <= F.greatest(F.lit(200), 0.05 * F.col("exact"))).alias("near"))
+    return token_budget(fragments, files).join(exact, ["site", "lang", "domain"]).select("site", "lang", "domain", "files", "fragments", "unique_fragments", (off <= F.greatest(F.lit(60), 0.03 * F.col("exact"))).alias("near"))
 
 
 QUERIES = {"p3_token_budget": p3_token_budget, "p3_checked": p3_checked}
