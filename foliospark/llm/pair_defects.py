@@ -79,6 +79,12 @@ REFUSAL = re.compile(
     ),
     re.I,
 )
+# One of these is in whatever the pattern matches, and is looked for first.
+REFUSAL_STEMS = tuple(
+    "can't|cannot|can not|won't|will not|couldn't|could not|able to|allowed|permitted|position|declin|refus|rather not|prefer|pass on|skip|no answer|no response|no reply|no information|something|as a|guidelines|polic|outside"
+    "|nicht|keine|leider|sprachmodell|passen|ablehnen|pas|préf|dois|impossible|aucune|interdit|en tant que|no |abstenerme|declinar|negarme|vedado|prohibido|como "
+    "|nie |odmówić|zakresem|jako |не|вынужден|отве|тема|мне|как ".split("|")
+)
 ASKED_TO_REFUSE = re.compile(r"\b(?:declin|refus|reject(?:ing|ion) (?:letter|note|sentence)|absage|ablehnung|rechazo|negativa|odmow|odmaw|отказ)", re.I)
 _SENTENCES = re.compile(r"(?<=[.!?…])\s+|\n+")
 
@@ -88,7 +94,8 @@ def is_refusal(instruction: str, output: str) -> bool:
     if ASKED_TO_REFUSE.search(instruction):
         return False
     opening = " ".join([s for s in _SENTENCES.split(unlabelled(output), 4) if s.strip()][:2]).replace("’", "'").replace("`", "'")
-    return bool(REFUSAL.search(opening))
+    low = opening.lower()
+    return any(x in low for x in REFUSAL_STEMS) and bool(REFUSAL.search(opening))
 
 
 _COPY_TASK = re.compile(r"\b(?:copy|repeat|quote|recopie|copie|répète|cite|copia|repite|gib|wiederhole|zitiere|schreibe? .* ab|przepisz|powtórz|zacytuj|выпиши|перепиши|повтори|процитируй)\b", re.I)
@@ -134,6 +141,7 @@ _TRANSLATION = re.compile(r"\b(?:translat|übersetz|tradui[st]|traduire|traduc|t
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: First code points of scripts and of what lies between; letters below belong to the entry before.
 _SCRIPTS = ((0, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"), (0x900, "indic"), (0xE00, "thai"), (0x10A0, "georgian"), (0x1100, "hangul"), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "latin"), (0x3040, "kana"), (0x3400, "han"), (0xAC00, "hangul"), (0xD800, "other"), (0xF900, "han"), (0xFB00, "latin"), (0xFB1D, "arabic"), (0xFF00, "latin"), (0x20000, "han"))
+_BEYOND_LATIN = re.compile("[\u0370-\u1dff\u1f00-\U0010ffff]")
 _SCRIPT_STARTS = [a for a, _ in _SCRIPTS]
 #: Nats by which a language has to be likelier than the next to be the instruction's, and than the instruction's to be the answer's; and by letter triple, for long texts.
 CLEAR, OTHER, OTHER_PER_TRIPLE = 3.0, 4.0, 0.12
@@ -152,9 +160,11 @@ def words_in(text: str) -> list[str]:
 def script(words: list[str]) -> str | None:
     """The script of two thirds of the letters at least."""
     text = "".join(words)
-    if text.isascii():
+    if not _BEYOND_LATIN.search(text):
         return "latin" if text else None
-    seen = Counter(_SCRIPTS[bisect_right(_SCRIPT_STARTS, ord(c)) - 1][1] for c in text)
+    seen: Counter[str] = Counter()
+    for c, n in Counter(text).items():
+        seen[_SCRIPTS[bisect_right(_SCRIPT_STARTS, ord(c)) - 1][1]] += n
     name, n = seen.most_common(1)[0]
     # Japanese is written in both.
     n += seen["kana"] if name == "han" else 0
@@ -177,6 +187,7 @@ class Profiles:
             whole = sum(counts[lang].values()) + 0.5 * len(every)
             for t in every:
                 self.logs[t][k] = math.log((counts[lang].get(t, 0) + 0.5) / whole)
+        self.asked: dict[str, tuple[str | None, int | None]] = {}
         self.at: dict[str, int] = {}
         self.table = np.zeros((1024, len(self.languages) + 1))
 
@@ -191,13 +202,28 @@ class Profiles:
         self.table[k, -1] = len(known)
         return k
 
+    def language_of(self, instruction: str) -> tuple[str | None, int | None]:
+        """(script, number of the language) of an instruction, as far as they are clear; the same ones come again and again."""
+        got = self.asked.get(instruction)
+        if got is None:
+            words, k = words_in(instruction), None
+            if words and len(self.languages) > 1:
+                ask, _ = self.scores(words)
+                best = int(ask.argmax())
+                k = best if ask[best] - np.partition(ask, -2)[-2] >= CLEAR else None
+            got = script(words), k
+            if len(self.asked) >= CACHED_WORDS // 10:
+                self.asked.clear()
+            self.asked[instruction] = got
+        return got
+
     def scores(self, words: list[str]) -> tuple[np.ndarray, int]:
         """(log likelihood in each language, triples known)."""
         at = self.at
         if len(at) + len(words) > CACHED_WORDS:
             at.clear()
         rows = [k if (k := at.get(w)) is not None else self._add(w) for w in words]
-        total = self.table[rows].sum(axis=0)
+        total = np.add.reduce(self.table.take(rows, 0), 0)
         return total[:-1], int(total[-1])
 
 
@@ -207,17 +233,14 @@ def is_other_language(instruction: str, output: str, profiles: Profiles) -> bool
     if not _CLOSED.search(answer):
         answer = answer.rpartition(" ")[0]  # the last word may be cut
     # Cells of a table are names, too few and too short to tell a language.
-    asked, got = words_in(instruction), words_in(_ROWS.sub(" ", answer))
-    if not asked or not got:
+    got = words_in(_ROWS.sub(" ", answer) if "|" in answer else answer)
+    if not got:
         return False
-    ours, theirs = script(asked), script(got)
+    ours, k = profiles.language_of(instruction)
+    theirs = script(got)
     if ours and theirs and ours != theirs:
         return sum(map(len, got)) > 3 and not _TRANSLATION.search(instruction)
-    if len(profiles.languages) < 2:
-        return False
-    ask, _ = profiles.scores(asked)
-    k = int(ask.argmax())
-    if ask[k] - np.partition(ask, -2)[-2] < CLEAR:
+    if k is None:
         return False  # the instruction's language is not clear
     answered, n = profiles.scores(got)
     return bool(answered.max() - answered[k] > max(OTHER, OTHER_PER_TRIPLE * n)) and not _TRANSLATION.search(instruction)
@@ -250,9 +273,11 @@ def profile_counts(records: DataFrame, telling: dict[str, int], languages: list[
             return votes[0][0] if votes and votes[0][1] > 1 and (len(votes) < 2 or votes[0][1] >= 2 * votes[1][1]) else None
 
         for b in batches:
+            known: dict[str, tuple[list[str], int | None]] = {}
             for instruction, output in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                ask, answer = words_in(instruction or ""), words_in(output or "")
-                first, second = told(ask), told(answer)
+                ask, first = known.get(instruction or "") or known.setdefault(instruction or "", (w := words_in(instruction or ""), told(w)))
+                answer = words_in(output or "")
+                second = told(answer)
                 for words, lang in ((ask, second if first is None else first), (answer, first if second is None else second)):
                     if lang is not None:
                         seen[lang].update(words)
