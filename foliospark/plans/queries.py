@@ -6,10 +6,9 @@ operators on rows (rendering, anti join); the others read the pipeline's tables.
 
 from __future__ import annotations
 
-import atexit
 import base64
-import shutil
-import tempfile
+import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +27,7 @@ from foliospark.plans.pipeline import per_file_counts
 from foliospark.sinks.writers import shard_numbers, split_valid
 from foliospark.sources.files import counts, extension, guarded, in_order, pending
 from foliospark.sources.readers import sparse
-from foliospark.storage import table
+from foliospark.storage import shared_dir, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -204,9 +203,9 @@ def chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _byte_vocabulary(spark: SparkSession) -> str:
-    """A vocabulary of single bytes, whose counts SQL can tell: a text has as many tokens as bytes. For one machine, as the queries that read it are."""
-    folder = tempfile.mkdtemp(prefix="foliospark-bytes-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    """A vocabulary of single bytes in the shared folder, whose counts SQL can tell: a text has as many tokens as bytes."""
+    folder = "/" + f"{shared_dir(spark)}/foliospark-{spark.sparkContext.applicationId}/bytes-{uuid.uuid4().hex}".removeprefix("file:").lstrip("/")
+    os.makedirs(folder)
     with open(f"{folder}/bytes.tiktoken", "w") as f:
         f.writelines(f"{base64.b64encode(bytes([b])).decode()} {b}\n" for b in range(256))
     return tokenizer_path("bytes", folder)

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from foliospark.plans import queries as core
+from foliospark.plans import run_queries as _runs  # noqa: F401  registers more
 from foliospark.plans import source_queries as _sources  # noqa: F401  registers more
 from tests.conftest import SMALL, TINY, rows
 
