@@ -237,9 +237,11 @@ def repair_table(fragments: DataFrame) -> DataFrame:
     texts = fragments.select("text").where("text IS NOT NULL AND (length(text) <> octet_length(text) OR contains(text, '&#'))")
     counts = written(texts.mapInArrow(_counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     signs = fragments.sparkSession.createDataFrame([(s, 1 << 40) for s in SIGNS], "word string, n long")
-    forms = counts.unionByName(signs).repartition(F.col("word")).mapInArrow(_garble, "word string, original string, n_original long, kind int, odd_original int")
+    # Words are few bytes and much work each: spread by a number that is not coalesced.
+    tasks = 2 * fragments.sparkSession.sparkContext.defaultParallelism
+    forms = counts.unionByName(signs).repartition(tasks, "word").mapInArrow(_garble, "word string, original string, n_original long, kind int, odd_original int")
     known = counts.unionByName(signs).groupBy("word").agg(F.max("n").alias("n_original")).withColumnRenamed("word", "original")
-    undoings = counts.select("word").mapInArrow(_undo, "word string, original string, odd_original int").join(known, "original").withColumn("kind", F.lit(1))
+    undoings = counts.select("word").repartition(tasks, "word").mapInArrow(_undo, "word string, original string, odd_original int").join(known, "original").withColumn("kind", F.lit(1))
     met = counts.join(forms.unionByName(undoings), "word").withColumn("odd", _oddity("word"))
     rarer = F.col("n_original") >= 3 * F.col("n")
     odder = F.col("odd") > F.col("odd_original")
